@@ -43,6 +43,8 @@ def scratch_path(spark, name):
 
 
 def cut(df):
-    """Materialise `df` durably, so that retries never replay the plan behind it."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write `df` to the shared folder and read it back, so that retries and later steps
+    never replay the plan behind it and the planner knows its size."""
+    path = scratch_path(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -278,7 +278,7 @@ def log_entries(spark, sf_dir):
         "ts",
         level.alias("level"),
         F.col("props").alias("message"),
-        F.concat(F.lit("u"), _mod("user_id", 5).cast("string")).alias("university"),
+        F.concat(F.lit("u"), _mod("user_id", 2).cast("string")).alias("university"),
         F.col("event_type").alias("faculty"),
         F.when(_mod("user_id", 7) != 0, F.concat(F.lit("from_"), "event_type")).alias("source"),
     )

@@ -212,7 +212,7 @@ _LOG = """
     SELECT strftime(ts, '%Y-%m-%dT%H:%M:%S') ||
                CASE WHEN microsecond(ts) % 1000000 = 0 THEN '' ELSE strftime(ts, '.%f') END AS timestamp,
            CASE event_type WHEN 'error' THEN 'ERROR' WHEN 'purchase' THEN 'WARNING' ELSE 'INFO' END AS level,
-           props AS message, 'u' || (user_id % 5) AS university, event_type AS faculty,
+           props AS message, 'u' || (user_id % 2) AS university, event_type AS faculty,
            CASE WHEN user_id % 7 <> 0 THEN 'from_' || event_type ELSE 'unknown' END AS source, ts
     FROM events"""
 

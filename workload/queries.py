@@ -15,7 +15,7 @@ from quadrangle.operators.reach import reach
 from quadrangle.operators.resolve import resolve_universities
 from quadrangle.operators.upsert import upsert
 from quadrangle.plans import courses, crawl, landing, logs, payloads, profiles, reports, search
-from quadrangle.session import scratch_path
+from quadrangle.session import cut, scratch_path
 from quadrangle.sinks.files import append_table
 from quadrangle.sinks.tables import append_to_table, create_tables
 from quadrangle.sources.raw import list_objects, read_authors, read_payloads
@@ -165,7 +165,8 @@ def links_per_page(spark, sf_dir):
 
 
 def bounded_reach(spark, sf_dir):
-    return reach(fx.link_edges(spark, sf_dir), fx.link_seeds(spark, sf_dir), groups=["university"])
+    edges = cut(fx.link_edges(spark, sf_dir))
+    return reach(edges, fx.link_seeds(spark, sf_dir), groups=["university"])
 
 
 def crawl_walk(spark, sf_dir):
