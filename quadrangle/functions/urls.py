@@ -119,7 +119,7 @@ def _tail(mark, part):
 
 def full_url(parts):
     """Parts put back together, fragment included."""
-    has_host = (parts["netloc"] != "") | parts["scheme"].isin("http", "https")
+    has_host = parts["netloc"] != ""
     return F.concat(
         parts["scheme"],
         F.when(has_host, "://").otherwise(":"),
@@ -146,7 +146,7 @@ def resolve(base_url, href):
     """Absolute form of `href` on the page `base_url`."""
     pair = F.struct(url_parts(base_url).alias("base"), url_parts(href).alias("ref"))
     joined = staged(F.array(pair), lambda p: merge_parts(p["base"], p["ref"]), settle_path, full_url)
-    return F.get(joined, F.lit(0))
+    return F.when(href == "", base_url).otherwise(F.get(joined, F.lit(0)))
 
 
 def followable(href):
