@@ -123,7 +123,9 @@ def _named_references(text):
 # Steps that replace character references in attribute values: numeric ones and the five
 # of XML. A numeric ampersand is spelled out first, so that it starts no new reference.
 UNESCAPE_STEPS = (
-    lambda text: F.regexp_replace(text, r"&#(?:0*38|[xX]0*26);", "&amp;"),
+    lambda text: F.when(
+        text.contains("&#"), F.regexp_replace(text, r"&#(?:0*38|[xX]0*26);", "&amp;")
+    ).otherwise(text),
     _numeric_references(r"&#0*([1-9][0-9]{0,5});", 10),
     _numeric_references(r"&#[xX]0*([1-9a-fA-F][0-9a-fA-F]{0,4});", 16),
     _named_references,

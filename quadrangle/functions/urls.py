@@ -22,16 +22,26 @@ _RFC3986 = (
 _SCHEME, _NETLOC, _PATH, _QUERY, _FRAGMENT = range(1, 6)
 
 
+def _ending(url):
+    """What follows the last dot, query and fragment aside; "" without a dot."""
+    bare = F.substring_index(F.substring_index(F.lower(url), "?", 1), "#", 1)
+    return F.when(bare.contains("."), F.substring_index(bare, ".", -1)).otherwise("")
+
+
 def file_type(url):
     """pdf, image, json, document, skip or html, judged by the URL's ending."""
-    bare = F.substring_index(F.substring_index(F.lower(url), "?", 1), "#", 1)
-    ending = F.when(bare.contains("."), F.substring_index(bare, ".", -1)).otherwise("")
+    ending = _ending(url)
     kind = F.when(url.isNull(), F.lit(None))
     for name, endings in FILE_TYPE_EXTENSIONS.items():
         kind = kind.when(ending.isin(endings), name)
     return kind.otherwise("html")
 
 
+def is_image(url):
+    """The URL is of file type image."""
+    return _ending(url).isin(FILE_TYPE_EXTENSIONS["image"])
+
+
 def bucket(kind):
     """Storage bucket of a file type."""
     return reduce(
@@ -41,21 +51,30 @@ def bucket(kind):
     ).otherwise(DEFAULT_BUCKET)
 
 
-def url_parts(url):
-    """Struct of scheme, netloc (port kept), path, query and fragment; "" where absent."""
-    clean = F.regexp_replace(url, r"^[\x00-\x20]+|[\t\r\n]", "")
+def trimmed(url):
+    """Without leading blanks and control characters, tabs and line breaks."""
+    return F.regexp_replace(url, r"^[\x00-\x20]+|[\t\r\n]", "")
+
+
+def split_parts(url):
+    """Struct of scheme, netloc (port kept), path, query and fragment of a trimmed URL."""
     return F.struct(
-        F.lower(F.regexp_extract(clean, _RFC3986, _SCHEME)).alias("scheme"),
-        F.regexp_extract(clean, _RFC3986, _NETLOC).alias("netloc"),
-        F.regexp_extract(clean, _RFC3986, _PATH).alias("path"),
-        F.regexp_extract(clean, _RFC3986, _QUERY).alias("query"),
-        F.regexp_extract(clean, _RFC3986, _FRAGMENT).alias("fragment"),
+        F.lower(F.regexp_extract(url, _RFC3986, _SCHEME)).alias("scheme"),
+        F.regexp_extract(url, _RFC3986, _NETLOC).alias("netloc"),
+        F.regexp_extract(url, _RFC3986, _PATH).alias("path"),
+        F.regexp_extract(url, _RFC3986, _QUERY).alias("query"),
+        F.regexp_extract(url, _RFC3986, _FRAGMENT).alias("fragment"),
     )
 
 
+def url_parts(url):
+    """Struct of scheme, netloc, path, query and fragment; "" where absent."""
+    return split_parts(trimmed(url))
+
+
 def netloc(url):
     """Host with its port and credentials, as written."""
-    return F.regexp_extract(F.regexp_replace(url, r"^[\x00-\x20]+|[\t\r\n]", ""), _RFC3986, _NETLOC)
+    return F.regexp_extract(trimmed(url), _RFC3986, _NETLOC)
 
 
 def staged(array, *steps):

@@ -14,7 +14,7 @@ def join_pages(pages, keys, page_no="page_no", text="text", pages_per_part=PAGES
     `pages_per_part` continues in further numbered parts, each built by its own task,
     so no page is left out and no task has to hold more than a part.
     """
-    part = F.floor(F.col(page_no) / pages_per_part).cast("int")
+    part = F.expr(f"CAST(`{page_no}` DIV {pages_per_part} AS INT)")
     spoken = F.when(F.col(text) != "", F.col(text))
     joined = F.expr(r"listagg(_text, '\n') WITHIN GROUP (ORDER BY _page)")
     return (

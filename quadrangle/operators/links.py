@@ -8,14 +8,15 @@ from pyspark.sql import functions as F
 
 from quadrangle.functions.text import UNESCAPE_STEPS
 from quadrangle.functions.urls import (
-    file_type,
     followable,
     full_url,
+    is_image,
     merge_parts,
     page_url,
     settle_path,
+    split_parts,
     staged,
-    url_parts,
+    trimmed,
 )
 
 # Possessive quantifiers keep the matcher iterative on long tags.
@@ -51,28 +52,24 @@ def _references(html, tag, attribute):
 def _targets(references, base, shape):
     """References resolved against the page and given their final `shape`."""
     return staged(
-        references, url_parts, lambda ref: merge_parts(base, ref), settle_path,
+        references, trimmed, split_parts, lambda ref: merge_parts(base, ref), settle_path,
         lambda to: F.struct(
             shape(to).alias("link"),
             to["netloc"].alias("netloc"),
-            (file_type(F.concat(to["netloc"], to["path"])) == "image").alias("is_image"),
+            is_image(F.concat(to["netloc"], to["path"])).alias("is_image"),
         ),
     )
 
 
-def page_links(pages, keep=(), url="url", html="html"):
-    """One row per distinct link of a page: `keep` columns, link, netloc, is_image.
-
-    Anchors of any domain, without their fragment, and images of any domain as written.
-    Restrict by domain with `allowed_link`.
-    """
-    base = F.get(staged(F.array(F.col(url)), url_parts), F.lit(0))
+def _resolved(pages, keep, url, html):
+    """`keep` columns and the resolved links behind anchors and images, as two arrays."""
+    base = F.get(staged(F.array(F.col(url)), trimmed, split_parts), F.lit(0))
+    live = F.when(F.col(html).contains("<"), F.regexp_replace(html, _INERT, "")).otherwise("")
     anchors = F.filter(_references(F.col("_live"), "a", "href"), followable)
     images = F.filter(_references(F.col("_live"), "img", "src"), lambda src: src != "")
     page_base = F.col("_base")
     return (
-        pages.filter(F.col(html).contains("<"))
-        .select(*keep, base.alias("_base"), F.regexp_replace(html, _INERT, "").alias("_live"))
+        pages.select(*keep, base.alias("_base"), live.alias("_live"))
         .select(*keep, "_base", anchors.alias("_anchors"), images.alias("_images"))
         .select(
             *keep,
@@ -81,11 +78,30 @@ def page_links(pages, keep=(), url="url", html="html"):
                 _targets(F.col("_images"), page_base, full_url), lambda to: to["is_image"]
             ).alias("_images"),
         )
-        .select(*keep, F.explode(F.array_union("_anchors", "_images")).alias("_to"))
-        .select(*keep, "_to.*")
     )
 
 
+def with_links(pages, keep=(), url="url", html="html"):
+    """`keep` columns and `links`: the distinct (link, netloc, is_image) of each page.
+
+    Anchors of any domain, without their fragment, and images of any domain as written.
+    Every page stays; one without links has an empty list.
+    """
+    links = F.array_union("_anchors", "_images").alias("links")
+    return _resolved(pages, keep, url, html).select(*keep, links)
+
+
+def page_links(pages, keep=(), url="url", html="html"):
+    """One row per distinct link of a page: `keep` columns, link, netloc, is_image.
+
+    Restrict by domain with `allowed_link`.
+    """
+    # exploding the union itself: over a named column Spark would add a filter on its
+    # size and work out all links twice
+    to = F.explode(F.array_union("_anchors", "_images")).alias("_to")
+    return _resolved(pages, keep, url, html).select(*keep, to).select(*keep, "_to.*")
+
+
 def allowed_link(allowed_netloc):
     """Same-domain links, and images wherever they are."""
     return (F.col("netloc") == allowed_netloc) | F.col("is_image")

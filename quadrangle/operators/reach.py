@@ -19,7 +19,10 @@ def spread_hot_sources(edges, hot_minimum=HOT_MINIMUM):
     Returns the links with a `slot` column, and the table (src, slots) of hot sources;
     without hot sources the links as they are, and None.
     """
-    per_slot = max(edges.count() // HOT_SHARE, hot_minimum)
+    total = edges.count()
+    per_slot = max(total // HOT_SHARE, hot_minimum)
+    if total <= per_slot:
+        return edges, None
     hot = cut(
         edges.groupBy("src")
         .agg(F.count(F.lit(1)).alias("_links"))

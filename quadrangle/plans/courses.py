@@ -32,15 +32,22 @@ def course_name(raw_filename):
     return F.when(F.trim(name) != "", name).otherwise(raw_filename)
 
 
-def course_catalog(payloads, run_ts):
-    """One course per file stem and faculty; the lowest source path wins."""
+COURSE_KEY = ["university", "faculty", "record_id"]
+
+
+def _named_courses(payloads):
     stem = F.regexp_extract("source_path", PDF_STEM_PATTERN, 1)
     keyed = course_documents(payloads).withColumns(
         {"raw_filename": stem, "course_name": course_name(stem)}
     ).withColumn("record_id", record_key(F.col("raw_filename"), F.col("faculty")))
+    return keyed.filter(F.col("course_name").isNotNull())
+
+
+def course_catalog(payloads, run_ts):
+    """One course per file stem and faculty; the lowest source path wins."""
     survivors = first_per_key(
-        keyed.filter(F.col("course_name").isNotNull()),
-        ["university", "faculty", "record_id"],
+        _named_courses(payloads),
+        COURSE_KEY,
         [F.asc("source_path"), F.asc_nulls_last("text_content")],
     )
     return survivors.withColumns(
@@ -53,6 +60,11 @@ def course_catalog(payloads, run_ts):
     ).select(*schemas.COURSE.names)
 
 
+def course_keys(payloads):
+    """The keys `course_catalog` has a row for; for counts, which need no text."""
+    return _named_courses(payloads).select(*COURSE_KEY).distinct()
+
+
 def preview(courses, rows=20):
     """The first courses by name."""
     return (

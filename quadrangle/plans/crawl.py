@@ -6,7 +6,7 @@ from quadrangle import schemas
 from quadrangle.constants import FILE_TYPE_EXTENSIONS, MAX_CRAWL_DEPTH
 from quadrangle.functions.text import day_path, iso_timestamp
 from quadrangle.functions.urls import bucket, file_type, netloc
-from quadrangle.operators.links import allowed_link, page_links
+from quadrangle.operators.links import allowed_link, with_links
 from quadrangle.operators.reach import reach
 from quadrangle.session import cut
 from quadrangle.sinks.files import append_table
@@ -62,16 +62,24 @@ def crawl_counts(fetched):
     )
 
 
-def visited_urls(pages, seeds, max_depth=MAX_CRAWL_DEPTH):
+def described_pages(pages):
+    """Per stored page its checksum and links, from one pass over the contents.
+
+    Later steps work on this table; contents are neither read again nor shuffled.
+    """
+    markup = F.when(file_type(F.col("url")) == "html", F.col("html")).otherwise("")
+    checksum = content_checksum(F.col("html")).alias("content_checksum")
+    return cut(with_links(pages.select("url", checksum, markup.alias("html")), keep=["url", "content_checksum"]))
+
+
+def visited_urls(described, seeds, max_depth=MAX_CRAWL_DEPTH):
     """Every URL a crawl visits, with its depth.
 
-    `pages`: url, html. `seeds`: university, faculty, url. Links are extracted once;
-    all crawls walk them together, each within the domain of its own seed.
+    `described`: url, links. `seeds`: university, faculty, url. All crawls walk
+    together, each within the domain of its own seed.
     """
-    links = cut(
-        page_links(pages, keep=["url"]).select(
-            F.col("url").alias("src"), F.col("link").alias("dst"), "netloc", "is_image"
-        )
+    links = described.select(F.col("url").alias("src"), F.explode("links").alias("to")).select(
+        "src", F.col("to.link").alias("dst"), "to.netloc", "to.is_image"
     )
     starts = seeds.withColumn("allowed", netloc(F.col("url")))
     return reach(
@@ -82,10 +90,11 @@ def visited_urls(pages, seeds, max_depth=MAX_CRAWL_DEPTH):
 def fetched_objects(pages, seeds, max_depth=MAX_CRAWL_DEPTH):
     """Visited URLs with the checksum of the stored content, NULL where nothing is stored.
 
-    Contents are reduced to checksums before the join, so HTML is never shuffled.
+    `pages`: url (unique), html.
     """
-    checksums = pages.select("url", content_checksum(F.col("html")).alias("content_checksum"))
-    return visited_urls(pages, seeds, max_depth).join(checksums, "url", "left")
+    described = described_pages(pages)
+    checksums = described.select("url", "content_checksum")
+    return visited_urls(described, seeds, max_depth).join(checksums, "url", "left")
 
 
 def run(pages, seeds, manifest_path, run_ts, max_depth=MAX_CRAWL_DEPTH):

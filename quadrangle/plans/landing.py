@@ -6,6 +6,7 @@ from quadrangle import schemas
 from quadrangle.constants import LANDING_SOURCE, MAX_AUTHORS_PER_FACULTY, MAX_WORKS_PER_FACULTY
 from quadrangle.functions.text import clock_timestamp, iso_timestamp, slug
 from quadrangle.operators.latest import cap_rows
+from quadrangle.session import cut
 from quadrangle.sinks.files import land_json
 
 
@@ -57,12 +58,11 @@ def land(rows, fields, root, data_type, run_ts):
 
 def run(authors, works, root, sidecar_root, run_ts):
     """Cap, enrich and land both record kinds, and their counts in a tree of their own."""
-    kept_authors = cap_per_faculty(authors, MAX_AUTHORS_PER_FACULTY)
-    kept_works = publications(cap_per_faculty(works, MAX_WORKS_PER_FACULTY), run_ts)
     for rows, schema, data_type in (
-        (kept_authors, schemas.AUTHOR, "authors"),
-        (kept_works, schemas.PUBLICATION, "publications"),
+        (cap_per_faculty(authors, MAX_AUTHORS_PER_FACULTY), schemas.AUTHOR, "authors"),
+        (publications(cap_per_faculty(works, MAX_WORKS_PER_FACULTY), run_ts), schemas.PUBLICATION, "publications"),
     ):
-        land(rows, schema.names, root, data_type, run_ts)
-        counts = batch_counts(rows, data_type, run_ts)
+        kept = cut(rows)
+        land(kept, schema.names, root, data_type, run_ts)
+        counts = batch_counts(kept, data_type, run_ts)
         land(counts, counts.columns, sidecar_root, data_type, run_ts)

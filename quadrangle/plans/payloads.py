@@ -6,6 +6,7 @@ from quadrangle import schemas
 from quadrangle.constants import DOCUMENT_BUCKET, EXTRACTION_TYPE, TEXT_BUCKET
 from quadrangle.functions.text import iso_timestamp, json_extension, text_or_empty
 from quadrangle.operators.concat import join_pages
+from quadrangle.session import cut
 from quadrangle.sinks.files import land_json
 from quadrangle.sources.raw import not_sidecar
 
@@ -48,14 +49,17 @@ def payloads(documents, sidecars, run_ts):
 
 
 def extraction_counts(documents):
-    """pdf, docx, skipped and errors; a NULL text stands for an object that failed to read."""
+    """pdf, docx, skipped and errors.
+
+    `documents`: path, n_chars; a NULL length stands for an object that failed to read.
+    """
     path, kind = F.col("path"), document_kind(F.col("path"))
-    failed = F.col("text").isNull()
-    empty = F.length("text") == 0
+    failed = F.col("n_chars").isNull()
+    worded = F.col("n_chars") > 0
     return documents.filter(not_sidecar(path)).agg(
-        F.count_if((kind == "pdf") & ~failed & ~empty).alias("pdf"),
-        F.count_if((kind == "docx") & ~failed & ~empty).alias("docx"),
-        F.count_if(~failed & (kind.isNull() | empty)).alias("skipped"),
+        F.count_if((kind == "pdf") & worded).alias("pdf"),
+        F.count_if((kind == "docx") & worded).alias("docx"),
+        F.count_if(~failed & (kind.isNull() | ~worded)).alias("skipped"),
         F.count_if(failed).alias("errors"),
     )
 
@@ -72,8 +76,9 @@ def write(payload_rows, root):
 def run(page_texts, sidecars, root, run_ts):
     """Join page texts per document, build the payloads, land them; returns the counts.
 
-    `page_texts`: path, page_no, text.
+    `page_texts`: path, page_no, text. Texts are assembled once; the counts read only
+    paths and lengths of the assembled table.
     """
-    documents = join_pages(page_texts, ["path"])
+    documents = cut(join_pages(page_texts, ["path"]).withColumn("n_chars", F.length("text")))
     write(payloads(documents, sidecars, run_ts), root)
     return extraction_counts(documents)

@@ -12,6 +12,9 @@ from quadrangle.operators.upsert import upsert
 from quadrangle.sources.raw import read_authors, stored_partitions
 
 
+PROFILE_KEY = ["university", "faculty", "author_id"]
+
+
 def faculty_profiles(authors, run_ts):
     """One named profile per author and faculty.
 
@@ -30,7 +33,7 @@ def faculty_profiles(authors, run_ts):
     )
     survivors = first_per_key(
         named,
-        ["university", "faculty", "author_id"],
+        PROFILE_KEY,
         [
             F.desc_nulls_last("works_count"),
             F.asc("full_name"),
@@ -50,6 +53,12 @@ def faculty_profiles(authors, run_ts):
     ).select(*schemas.PROFILE.names)
 
 
+def profile_keys(authors):
+    """The keys `faculty_profiles` has a row for; for counts, which need no survivor."""
+    named = authors.filter(F.col("display_name").isNotNull())
+    return named.withColumnRenamed("id", "author_id").select(*PROFILE_KEY).distinct()
+
+
 def preview(profiles, rows=10):
     """The first profiles by name."""
     return (

@@ -285,7 +285,7 @@ def log_entries(spark, sf_dir):
 
 
 def _html_object(pages, url):
-    host = netloc(F.col("url"))
+    host = F.substring_index(netloc(F.col("url")), ".", -1)
     lang = F.regexp_extract("url", r"^[a-z]+://[^/]+/([a-z]+)/", 1)
     name = F.concat(
         F.lit("university="), host, F.lit("/faculty="), lang, F.lit("/year=2024/month=06/day=01/"),
@@ -295,7 +295,7 @@ def _html_object(pages, url):
 
 
 def html_objects(spark, sf_dir):
-    """Stored HTML objects."""
+    """Stored HTML objects, filed under top-level domain and language."""
     return _html_object(table(spark, sf_dir, "pages"), F.col("url"))
 
 

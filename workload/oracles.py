@@ -226,7 +226,7 @@ def _documents(pages, url, html, stamp):
            's3://raw-web-html/' || name AS storage_path
     FROM (SELECT *, 'university=' || university || '/faculty=' || faculty ||
                     '/year=2024/month=06/day=01/' || md5({url}) || '.html' AS name
-          FROM (SELECT url, {html} AS body, regexp_extract(url, '^[a-z]+://([^/?#]*)', 1) AS university,
+          FROM (SELECT url, {html} AS body, regexp_extract(url, '^[a-z]+://[^/?#]*[.]([a-z]+)/', 1) AS university,
                        regexp_extract(url, '^[a-z]+://[^/]+/([a-z]+)/', 1) AS faculty
                 FROM {pages}))"""
 

@@ -69,16 +69,18 @@ def course_catalog(spark, sf_dir):
     return _naive(_courses(spark, sf_dir), "business_timestamp")
 
 
+def _job_counts(job, raw, keys):
+    raw_rows = raw.select(F.lit(1).alias("is_raw"), F.lit(0).alias("is_clean"))
+    clean_rows = keys.select(F.lit(0).alias("is_raw"), F.lit(1).alias("is_clean"))
+    return raw_rows.union(clean_rows).agg(
+        F.sum("is_raw").alias("raw_rows"), F.sum("is_clean").alias("clean_rows")
+    ).select(F.lit(job).alias("job"), "raw_rows", "clean_rows")
+
+
 def job_counts(spark, sf_dir):
-    def counts(job, raw, clean):
-        raw_rows = raw.select(F.lit(1).alias("is_raw"), F.lit(0).alias("is_clean"))
-        clean_rows = clean.select(F.lit(0).alias("is_raw"), F.lit(1).alias("is_clean"))
-        return raw_rows.union(clean_rows).agg(
-            F.sum("is_raw").alias("raw_rows"), F.sum("is_clean").alias("clean_rows")
-        ).select(F.lit(job).alias("job"), "raw_rows", "clean_rows")
-
-    return counts("faculty_profiles", fx.authors(spark, sf_dir), _profiles(spark, sf_dir)).union(
-        counts("course_catalog", fx.course_payloads(spark, sf_dir), _courses(spark, sf_dir))
+    authors, documents = fx.authors(spark, sf_dir), fx.course_payloads(spark, sf_dir)
+    return _job_counts("faculty_profiles", authors, profiles.profile_keys(authors)).union(
+        _job_counts("course_catalog", documents, courses.course_keys(documents))
     )
 
 
@@ -161,7 +163,8 @@ def page_links_query(spark, sf_dir):
 
 
 def links_per_page(spark, sf_dir):
-    return _own_links(spark, sf_dir).groupBy("page_id").agg(F.count_distinct("link").alias("n_links"))
+    # links are distinct within their page, so a plain count is enough
+    return _own_links(spark, sf_dir).groupBy("page_id").agg(F.count(F.lit(1)).alias("n_links"))
 
 
 def bounded_reach(spark, sf_dir):
@@ -189,7 +192,8 @@ def extraction_payload(spark, sf_dir):
 
 
 def extraction_stats(spark, sf_dir):
-    return payloads.extraction_counts(fx.stored_documents(spark, sf_dir))
+    documents = fx.stored_documents(spark, sf_dir).withColumn("n_chars", F.length("text"))
+    return payloads.extraction_counts(documents)
 
 
 def payload_scan_roundtrip(spark, sf_dir):
