@@ -1,10 +1,13 @@
 """Bounded breadth-first reach over a link table."""
 
+import uuid
+from contextlib import contextmanager
+
 from pyspark.sql import functions as F
 
 from quadrangle.constants import MAX_CRAWL_DEPTH
 from quadrangle.functions.urls import file_type
-from quadrangle.session import cut
+from quadrangle.session import cut, scratch_path
 
 HOT_SHARE = 10_000
 HOT_MINIMUM = 1_000_000
@@ -35,6 +38,29 @@ def spread_hot_sources(edges, hot_minimum=HOT_MINIMUM):
     return edges.join(F.broadcast(hot), "src", "left").withColumn("slot", slot).drop("slots"), hot
 
 
+@contextmanager
+def _laid_out(links, columns):
+    """The links bucketed by the columns every round joins on.
+
+    They are shuffled once here; the rounds then move only the frontier to them. The
+    catalog entry goes away at the end.
+    """
+    spark = links.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"links_{uuid.uuid4().hex}"
+    (
+        links.repartition(buckets, *columns)
+        .write.format("parquet")
+        .bucketBy(buckets, *columns)
+        .option("path", scratch_path(spark, "links"))
+        .saveAsTable(name)
+    )
+    try:
+        yield spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE {name}")
+
+
 def _follow_links(sources, links, hot):
     """Links leaving `sources`; a hot source meets its links slot by slot."""
     if hot is None:
@@ -44,6 +70,19 @@ def _follow_links(sources, links, hot):
     return slotted.drop("slots").join(links, ["src", "slot"])
 
 
+def _next_frontier(frontier, visited, links, hot, groups, follow):
+    """URLs one link away from the frontier's pages that no earlier round has seen."""
+    keys = [*groups, "url"]
+    sources = frontier.filter(file_type(F.col("url")) == "html").select(
+        *groups, F.col("url").alias("src")
+    )
+    steps = _follow_links(sources, links, hot)
+    if follow is not None:
+        steps = steps.filter(follow)
+    found = steps.select(*groups, F.col("dst").alias("url")).distinct()
+    return found.join(visited.select(*keys), keys, "left_anti")
+
+
 def reach(edges, seeds, groups=(), max_depth=MAX_CRAWL_DEPTH, follow=None, hot_minimum=HOT_MINIMUM):
     """Every URL within `max_depth` links of a seed, once per group, at its smallest depth.
 
@@ -51,24 +90,14 @@ def reach(edges, seeds, groups=(), max_depth=MAX_CRAWL_DEPTH, follow=None, hot_m
     `url`. All groups (crawls) walk together. Only URLs of type html are expanded;
     `follow` is an optional condition on a link, which may use the group columns.
     """
-    keys = [*groups, "url"]
-    links, hot = spread_hot_sources(edges, hot_minimum)
-    frontier = cut(seeds.select(*keys).distinct().withColumn("depth", F.lit(0)))
+    frontier = cut(seeds.select(*groups, "url").distinct().withColumn("depth", F.lit(0)))
     visited = frontier
-    for depth in range(1, max_depth + 1):
-        sources = frontier.filter(file_type(F.col("url")) == "html").select(
-            *groups, F.col("url").alias("src")
-        )
-        steps = _follow_links(sources, links, hot)
-        if follow is not None:
-            steps = steps.filter(follow)
-        frontier = cut(
-            steps.select(*groups, F.col("dst").alias("url"))
-            .distinct()
-            .join(visited.select(*keys), keys, "left_anti")
-            .withColumn("depth", F.lit(depth))
-        )
-        if frontier.isEmpty():
-            break
-        visited = visited.unionByName(frontier)
+    slotted, hot = spread_hot_sources(edges, hot_minimum)
+    with _laid_out(slotted, ["src"] if hot is None else ["src", "slot"]) as links:
+        for depth in range(1, max_depth + 1):
+            found = _next_frontier(frontier, visited, links, hot, groups, follow)
+            frontier = cut(found.withColumn("depth", F.lit(depth)))
+            if frontier.isEmpty():
+                break
+            visited = visited.unionByName(frontier)
     return visited

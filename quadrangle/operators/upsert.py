@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from quadrangle.operators.latest import first_per_key
 from quadrangle.session import scratch_path
 
-MAX_LISTED_PARTITIONS = 10_000
+MAX_LISTED_PARTITIONS = 2_000
 
 
 def read_table(spark, path, schema):
@@ -30,7 +30,7 @@ def _only_touched(stored, staged, partitions):
     listed = touched.limit(MAX_LISTED_PARTITIONS + 1).collect()
     if len(listed) > MAX_LISTED_PARTITIONS:
         return stored.join(touched, list(partitions), "left_semi"), listed
-    wanted = [F.struct(*[F.lit(row[p]) for p in partitions]) for row in listed]
+    wanted = [F.struct(*[F.lit(row[p]).cast("string") for p in partitions]) for row in listed]
     return stored.filter(F.struct(*[F.col(p) for p in partitions]).isin(wanted)), listed
 
 
@@ -43,6 +43,8 @@ def upsert(batch, path, keys=("record_id",), order="business_timestamp", partiti
     when the whole write has succeeded. Needs one writer per partition at a time.
     """
     spark, schema = batch.sparkSession, batch.schema
+    # a folder cannot tell an empty name from a missing one, so neither may the keys
+    batch = batch.withColumns({p: F.nullif(F.col(p), F.lit("")) for p in partitions})
     scope = [*partitions, *keys]
     rest = [F.col(c).asc() for c in batch.columns if c not in (*scope, order)]
     newest = first_per_key(batch, scope, [F.col(order).desc(), *rest])

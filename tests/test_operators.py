@@ -112,6 +112,15 @@ def test_upsert(spark, folder):
     assert _stored(spark, path) == [("a", 4, "u", "g"), ("a", 9, "u", "f"), ("b", 3, "u", "f"), ("c", 5, "w x", "f=1"), ("d", 8, "u", "f")]
 
 
+@pytest.mark.parametrize("missing", [None, ""])
+def test_upsert_keeps_rows_without_a_folder_name(spark, folder, missing):
+    path = f"{folder}/t"
+    upsert(_batch(spark, [("a", 1, DAYS[0], missing, "f"), ("b", 2, DAYS[0], missing, "f"), ("c", 3, DAYS[0], "u", "f")]), path)
+    upsert(_batch(spark, [("a", 9, DAYS[1], missing, "f")]), path)
+    assert sorted((r.record_id, r.v, r.university) for r in spark.read.parquet(path).collect()) == [
+        ("a", 9, None), ("b", 2, None), ("c", 3, "u")]
+
+
 def test_upsert_of_nothing_changes_nothing(spark, folder):
     path = f"{folder}/t"
     batch = _batch(spark, [("a", 1, DAYS[0], "u", "f")])

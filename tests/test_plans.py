@@ -90,3 +90,22 @@ def test_no_python_in_the_plans(spark, sf_dir):
     for name in ("author_normalize", "page_links", "text_concat", "lossy_decode", "search_docs"):
         plan = plan_of(QUERIES[name](spark, sf_dir))
         assert "Python" not in plan and "Arrow" not in plan
+
+
+@pytest.mark.parametrize("hot_minimum", [1, 1_000_000])
+def test_links_are_not_shuffled_again_in_the_rounds(spark, sf_dir, hot_minimum):
+    from quadrangle.operators import reach as module
+
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        edges, seeds = fx.link_edges(spark, sf_dir), fx.link_seeds(spark, sf_dir)
+        slotted, hot = module.spread_hot_sources(edges, hot_minimum)
+        frontier = seeds.selectExpr("university", "url", "0 AS depth")
+        with module._laid_out(slotted, ["src"] if hot is None else ["src", "slot"]) as links:
+            sources = frontier.selectExpr("university", "url AS src")
+            plan = plan_of(module._follow_links(sources, links, hot))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "SortMergeJoin" in plan
+    assert exchanges(plan) == 1
