@@ -1,5 +1,6 @@
 """Link extraction against a small parser-based rendition."""
 
+import random
 from html.parser import HTMLParser
 from urllib.parse import urljoin, urlparse
 
@@ -54,6 +55,7 @@ PAGES = {
     "inert": ('http://h/', """<!-- <a href="/c">t</a> --><script>var a='<a href="/s">';</script><style>a{}</style><a href="/live">t</a>"""),
     "lines": ('http://h/', """<a\n  class="k"\n  href="/multi"\n>t</a>"""),
     "params": ('http://h/', """<a href="/x;v=1?q=2">t</a><a href="/a.jpg;v=1">t</a>"""),
+    "stray": ('http://h/', """<a title='it's' href="/x">t</a><a href=a"b>t</a><a rel=x/y href=/z>t</a><a href = '/w' x=>t</a>"""),
     "nothing": ('http://h/', "plain text"),
     "dots": ('http://h/a/b/c', """<a href="../up">t</a><a href="./here">t</a><a href="../../../../top">t</a><a href="?only=query">t</a>"""),
 }
@@ -68,6 +70,44 @@ def test_links_of_a_page(spark, name):
     assert sorted(got) == sorted(expected_links(url, html))
 
 
+def _random_page(rng):
+    refs = ["/a", "b", "../c", "?q=1&amp;r=2", "#f", "http://o/x", "http://o/y.png", "//h/z", "d.gif#1", "mailto:x", "tel:1", "", "e;p=1", "/f/./g", "h i"]
+    out = []
+    for _ in range(rng.randrange(12)):
+        tag = rng.choice(["a", "A", "a", "img", "IMG", "abbr", "p"])
+        attrs = []
+        for _ in range(rng.randrange(5)):
+            name = rng.choice(["href", "HREF", "href", "src", "src", "class", "title", "data-href", "srcset"])
+            ref = rng.choice(refs)
+            quote = rng.choice(['"', "'", ""]) if ref and " " not in ref else '"'
+            if name in ("title", "class"):
+                ref, quote = rng.choice([("a > b", '"'), ("href='no'", '"'), (' src="no" ', "'"), ("k", "")])
+            if any(a.lower().startswith(name.lower()) for a in attrs):
+                continue
+            attrs.append(f"{name}{rng.choice(['=', '=', ' = '])}{quote}{ref}{quote}")
+        space = rng.choice([" ", "  ", "\n"])
+        out.append(f"<{tag}{space}{space.join(attrs)}{rng.choice(['', ' '])}>text</{tag}>")
+        if rng.random() < 0.2:
+            out.append(rng.choice(['<!-- <a href="/no"> -->', "<script>'<a href=/no>'</script>", "< a", "5 > 3", "it's"]))
+    return "".join(out)
+
+
+def test_random_pages(spark):
+    rng = random.Random(11)
+    rows = [(i, rng.choice(["http://h/d/p", "https://h/", "http://h/x/y/?q=1#f"]), _random_page(rng)) for i in range(900)]
+    pages = spark.createDataFrame(rows, "i int, url string, html string")
+    got = {}
+    for r in page_links(pages, keep=["i", "url"]).filter(allowed_link(netloc(F.col("url")))).collect():
+        got.setdefault(r.i, []).append(r.link)
+    wrong = [
+        (html, sorted(got.get(i, [])), sorted(expected_links(url, html)))
+        for i, url, html in rows
+        if sorted(got.get(i, [])) != sorted(expected_links(url, html))
+    ]
+    assert wrong == []
+    assert sum(map(len, got.values())) > 500
+
+
 def test_a_long_tag_does_not_exhaust_the_stack(spark):
     html = '<a title="' + "x" * 200_000 + '" ' + "b='1' " * 20_000 + 'href="/far">t</a>'
     pages = spark.createDataFrame([("http://h/", html)], "url string, html string")
