@@ -14,7 +14,7 @@ from quadrangle.constants import (
 from quadrangle.functions.text import any_of, record_key
 from quadrangle.operators.latest import first_per_key
 from quadrangle.operators.upsert import upsert
-from quadrangle.plans.profiles import resolved_pairs
+from quadrangle.plans.profiles import resolved_folders
 from quadrangle.sources.raw import read_payloads
 
 
@@ -76,8 +76,8 @@ def preview(courses, rows=20):
 
 def run(spark, root, table_path, pairs, run_ts=None, multi_line=False):
     """Build and upsert the courses of all requested faculties; returns the row counts."""
-    stored = resolved_pairs(spark, root, pairs)
-    payloads = read_payloads(spark, root, stored, multi_line) if stored else None
+    paths = [path for _, _, path in resolved_folders(spark, root, pairs)]
+    payloads = read_payloads(spark, paths, multi_line) if paths else None
     if payloads is None or payloads.isEmpty():
         return {"raw": 0, "clean": 0}
     raw, clean = Observation(), Observation()

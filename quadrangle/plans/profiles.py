@@ -68,11 +68,13 @@ def preview(profiles, rows=10):
     )
 
 
-def resolved_pairs(spark, root, pairs, subfolder=""):
-    """The stored (university, faculty) for each requested (hint, faculty) that has one."""
+def resolved_folders(spark, root, pairs, subfolder=""):
+    """(university, faculty, path) of each requested (hint, faculty) that is stored."""
+    stored = stored_partitions(spark, root, subfolder)
     requested = spark.createDataFrame(pairs, "hint string, faculty string")
-    rows = resolve_universities(requested, stored_partitions(spark, root, subfolder)).collect()
-    return [(row["university"], row["faculty"]) for row in rows if row["found"]]
+    resolved = resolve_universities(requested, stored).select("university", "faculty").distinct()
+    rows = resolved.join(stored, ["university", "faculty"]).collect()
+    return [tuple(row) for row in rows]
 
 
 def run(spark, root, table_path, pairs, run_ts=None, multi_line=False):
@@ -81,8 +83,9 @@ def run(spark, root, table_path, pairs, run_ts=None, multi_line=False):
     Returns raw and clean row counts, observed while the batch is written (a task that
     had to run again may be counted again).
     """
-    stored = resolved_pairs(spark, root, pairs, "type=authors")
-    authors = read_authors(spark, root, stored, multi_line) if stored else None
+    folders = resolved_folders(spark, root, pairs, "type=authors")
+    found = [(university, faculty) for university, faculty, _ in folders]
+    authors = read_authors(spark, root, found, multi_line) if found else None
     if authors is None or authors.isEmpty():
         return {"raw": 0, "clean": 0}
     raw, clean = Observation(), Observation()

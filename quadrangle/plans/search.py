@@ -24,9 +24,9 @@ def search_documents(objects, run_ts):
     return filled.withColumns(missing).select(*fields)
 
 
-def run(spark, root, table_path, run_ts=None):
-    """Put the documents of all stored HTML objects; a later document replaces an earlier one."""
-    documents = search_documents(
-        read_html_objects(spark, root), run_ts if run_ts is not None else F.current_timestamp()
-    )
+def run(spark, root, table_path, run_ts=None, pairs=None):
+    """Put the documents of the stored HTML objects, of all faculties or of the given
+    (university, faculty) pairs; a later document replaces an earlier one."""
+    objects = read_html_objects(spark, root, pairs)
+    documents = search_documents(objects, run_ts if run_ts is not None else F.current_timestamp())
     return upsert(documents, table_path, order="crawl_timestamp")

@@ -9,8 +9,19 @@ from quadrangle.functions.text import lossy_utf8
 _DAY = ("year", "month", "day")
 
 
+def _decoded(text):
+    """Percent-decoded text; as it is where that is not possible."""
+    return F.coalesce(F.try_url_decode(F.replace(text, F.lit("+"), F.lit("%2B"))), text)
+
+
 def _folder_value(path, name):
-    return F.regexp_extract(path, rf"/{name}=([^/]+)/", 1)
+    """The value in a `name=value` folder, special characters decoded as Spark writes them."""
+    return _decoded(F.regexp_extract(path, rf"/{name}=([^/]+)/", 1))
+
+
+def _scan_path():
+    """Path of the object a row was read from."""
+    return _decoded(F.col("_metadata.file_path"))
 
 
 def not_sidecar(name):
@@ -23,10 +34,15 @@ def pair_filter(pairs):
     return F.struct("university", "faculty").isin([F.struct(F.lit(u), F.lit(f)) for u, f in pairs])
 
 
-def list_objects(spark, root):
+def _below(root, pairs):
+    """The root, or the folders of the given (university, faculty) pairs."""
+    return root if pairs is None else [f"{root}/university={u}/faculty={f}" for u, f in pairs]
+
+
+def list_objects(spark, root, pairs=None):
     """path, length and the university and faculty in the path; file contents stay unread."""
     listing = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(_below(root, pairs))
         .select("path", "length")
     )
     return listing.select(
@@ -38,7 +54,7 @@ def list_objects(spark, root):
 
 
 def stored_partitions(spark, root, subfolder=""):
-    """The (university, faculty) folders below `root`; folders are listed, not objects."""
+    """university, faculty and path of the folders below `root`; objects are not listed."""
     context = spark.sparkContext
     pattern = context._jvm.org.apache.hadoop.fs.Path(f"{root}/university=*/faculty=*/{subfolder}")
     folders = pattern.getFileSystem(context._jsc.hadoopConfiguration()).globStatus(pattern)
@@ -46,6 +62,7 @@ def stored_partitions(spark, root, subfolder=""):
     return spark.createDataFrame(paths, "path string").select(
         _folder_value(F.col("path"), "university").alias("university"),
         _folder_value(F.col("path"), "faculty").alias("faculty"),
+        "path",
     )
 
 
@@ -70,25 +87,23 @@ def read_authors(spark, root, pairs=None, multi_line=False):
     )
 
 
-def read_payloads(spark, root, pairs=None, multi_line=False):
-    """Extracted-text payloads anywhere below the faculty folders.
+def read_payloads(spark, paths, multi_line=False):
+    """Extracted-text payloads anywhere below the given folders.
 
     Other JSON in the same tree (authors, publications) has no `metadata` and stays in
     the result with NULLs, as nothing downstream selects it; sidecars do not.
     """
-    paths = root if pairs is None else [f"{root}/university={u}/faculty={f}" for u, f in pairs]
     scan = (
         spark.read.schema(schemas.PAYLOAD)
         .option("multiLine", str(multi_line).lower())
         .option("recursiveFileLookup", "true")
         .json(paths)
     )
-    path = F.col("_metadata.file_path")
     return scan.filter(not_sidecar(F.col("_metadata.file_name"))).select(
         "metadata",
         "text",
-        F.url_decode(_folder_value(path, "university")).alias("university"),
-        F.url_decode(_folder_value(path, "faculty")).alias("faculty"),
+        _folder_value(_scan_path(), "university").alias("university"),
+        _folder_value(_scan_path(), "faculty").alias("faculty"),
     )
 
 
@@ -101,14 +116,14 @@ def read_sidecars(spark, root, schema=schemas.MANIFEST):
         .option("pathGlobFilter", f"*{SIDECAR_SUFFIX}")
         .json(root)
     )
-    path = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    return scan.select(F.regexp_replace(path, r"\.meta\.json\z", "").alias("object_path"), *schema.names)
+    object_path = F.regexp_replace(_scan_path(), r"\.meta\.json\z", "")
+    return scan.select(object_path.alias("object_path"), *schema.names)
 
 
-def read_html_objects(spark, root):
+def read_html_objects(spark, root, pairs=None):
     """HTML objects as text, bytes that are not UTF-8 left out."""
     return (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(_below(root, pairs))
         .filter(not_sidecar(F.col("path")))
         .select(
             _folder_value(F.col("path"), "university").alias("university"),

@@ -160,6 +160,35 @@ def test_payloads_as_single_objects(spark, folder):
     assert courses.run(spark, root, f"{folder}/t", [("hassan2", "F S")], now(), multi_line=True) == {"raw": 1, "clean": 1}
 
 
+def test_folder_names_with_special_characters(spark, folder):
+    """Names come back as they were, from the landing to the table."""
+    university, faculty = "a+b: 50%", "F=1 [x]"
+    authors = spark.createDataFrame(
+        [("A1", "Ann", None, 1, 1, [], university, faculty)],
+        schemas.with_partitions(schemas.AUTHOR, "university", "faculty"),
+    )
+    root = f"{folder}/raw-json"
+    landing.land(authors, schemas.AUTHOR.names, root, "authors", now())
+    names = raw.stored_partitions(spark, root).select("university", "faculty").collect()
+    assert [tuple(r) for r in names] == [("a+b:_50%", faculty)]
+    assert {(r.university, r.faculty) for r in raw.list_objects(spark, root).collect()} == {("a+b:_50%", faculty)}
+    table = f"{folder}/t"
+    assert profiles.run(spark, root, table, [(university, faculty)], now()) == {"raw": 1, "clean": 1}
+    profiles.run(spark, root, table, [(university, faculty)], now())
+    row = spark.read.schema(schemas.PROFILE).parquet(table).collect()
+    assert [(r.university, r.faculty) for r in row] == [("a+b:_50%", faculty)]
+
+    put_payload = spark.createDataFrame(
+        [({"source_url": "https://h/cursus/c.pdf", "source_path": "x"}, "text", university, faculty)],
+        "metadata struct<source_url:string, source_path:string>, text string, university string, faculty string",
+    )
+    from quadrangle.sinks.files import land_json
+
+    land_json(put_payload, ["metadata", "text"], {"university": F.col("university"), "faculty": F.col("faculty")}, f"{folder}/texts")
+    assert courses.run(spark, f"{folder}/texts", f"{folder}/c", [(university, faculty)], now()) == {"raw": 1, "clean": 1}
+    assert [(r.university, r.faculty) for r in spark.read.schema(schemas.COURSE).parquet(f"{folder}/c").collect()] == [(university, faculty)]
+
+
 def test_landing_job(spark, folder):
     authors = spark.createDataFrame(
         [("A%04d" % i, f"n{i}", None, 1, 1, [("P",)], "Hassan II", "FSAC") for i in range(505)],
@@ -243,7 +272,8 @@ def test_search_job(spark, folder):
     assert row.content.startswith("<p>café</p>") and len(row.content) == 10000
     assert (row.storage_path, row.university, row.faculty) == (f"s3://raw-web-html/{name}", "hassan2", "F S")
     put(f"{root}/{name}", b"new")
-    search.run(spark, root, table, F.lit("2024-06-02 00:00:00").cast("timestamp"))
+    put(f"{root}/university=other/faculty=X/q.html", b"not asked for")
+    search.run(spark, root, table, F.lit("2024-06-02 00:00:00").cast("timestamp"), [("hassan2", "F S")])
     assert [r.content for r in spark.read.parquet(table).collect()] == ["new"]
 
 
