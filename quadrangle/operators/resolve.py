@@ -8,12 +8,9 @@ from quadrangle.functions.text import slug
 
 def candidate_names(hint):
     """Known aliases, then the hint as given, in lower case, and as a slug; no repeats."""
-    known = F.lit(None).cast("array<string>")
-    chain = None
+    known = F.array().cast("array<string>")
     for name, aliases in UNIVERSITY_ALIASES.items():
-        names = F.array(*[F.lit(a) for a in aliases])
-        chain = F.when(hint == name, names) if chain is None else chain.when(hint == name, names)
-    known = F.coalesce(chain, F.array().cast("array<string>"))
+        known = F.when(hint == name, F.array(*[F.lit(a) for a in aliases])).otherwise(known)
     return F.array_distinct(F.concat(known, F.array(hint, F.lower(hint), slug(hint))))
 
 

@@ -2,6 +2,7 @@
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from quadrangle.operators.latest import first_per_key
 from quadrangle.session import scratch_path
@@ -19,8 +20,13 @@ def read_table(spark, path, schema):
         return spark.createDataFrame([], schema)
 
 
+def _same(left, right, columns):
+    """Null-safe equality on all columns, as a folder without a name still is one folder."""
+    return [left[c].eqNullSafe(right[c]) for c in columns]
+
+
 def _only_touched(stored, staged, partitions):
-    """Stored rows of the partitions that the batch touches.
+    """Stored rows of the partitions that the batch touches, and how many those are.
 
     The partition list is read from the staged batch (no data columns) and becomes a
     partition filter, so other folders are never opened. A longer list than may be
@@ -29,9 +35,10 @@ def _only_touched(stored, staged, partitions):
     touched = staged.select(*partitions).distinct()
     listed = touched.limit(MAX_LISTED_PARTITIONS + 1).collect()
     if len(listed) > MAX_LISTED_PARTITIONS:
-        return stored.join(touched, list(partitions), "left_semi"), listed
-    wanted = [F.struct(*[F.lit(row[p]).cast("string") for p in partitions]) for row in listed]
-    return stored.filter(F.struct(*[F.col(p) for p in partitions]).isin(wanted)), listed
+        return stored.join(touched, _same(stored, touched, partitions), "left_semi"), touched.count()
+    kinds = {p: stored.schema[p].dataType for p in partitions}
+    wanted = [F.struct(*[F.lit(row[p]).cast(kinds[p]) for p in partitions]) for row in listed]
+    return stored.filter(F.struct(*[F.col(p) for p in partitions]).isin(wanted)), len(listed)
 
 
 def upsert(batch, path, keys=("record_id",), order="business_timestamp", partitions=("university", "faculty")):
@@ -44,7 +51,8 @@ def upsert(batch, path, keys=("record_id",), order="business_timestamp", partiti
     """
     spark, schema = batch.sparkSession, batch.schema
     # a folder cannot tell an empty name from a missing one, so neither may the keys
-    batch = batch.withColumns({p: F.nullif(F.col(p), F.lit("")) for p in partitions})
+    names = [p for p in partitions if schema[p].dataType == StringType()]
+    batch = batch.withColumns({p: F.nullif(F.col(p), F.lit("")) for p in names})
     scope = [*partitions, *keys]
     rest = [F.col(c).asc() for c in batch.columns if c not in (*scope, order)]
     newest = first_per_key(batch, scope, [F.col(order).desc(), *rest])
@@ -55,8 +63,7 @@ def upsert(batch, path, keys=("record_id",), order="business_timestamp", partiti
     stored, touched = _only_touched(read_table(spark, path, schema), staged, partitions)
     if not touched:
         return 0
-    same_key = [stored[c].eqNullSafe(staged[c]) for c in scope]
-    merged = stored.join(staged, same_key, "left_anti").unionByName(staged)
+    merged = stored.join(staged, _same(stored, staged, scope), "left_anti").unionByName(staged)
     (
         # rebalance packs small partitions and splits a partition that holds too much
         merged.hint("rebalance", *partitions)
@@ -65,4 +72,4 @@ def upsert(batch, path, keys=("record_id",), order="business_timestamp", partiti
         .partitionBy(*partitions)
         .parquet(path)
     )
-    return len(touched)
+    return touched

@@ -142,11 +142,13 @@ def test_upsert_rewrites_touched_partitions_only(spark, folder):
 
 def test_upsert_with_more_partitions_than_can_be_listed(spark, folder, monkeypatch):
     path = f"{folder}/t"
-    batch = _batch(spark, [(f"k{i}", i, DAYS[0], "u", f"f{i}") for i in range(6)])
+    batch = _batch(spark, [(f"k{i}", i, DAYS[0], "u" if i else None, f"f{i}") for i in range(6)])
     upsert(batch, path)
+    upsert(_batch(spark, [("other", 99, DAYS[0], None, "f0")]), path)
     monkeypatch.setattr(upsert_module, "MAX_LISTED_PARTITIONS", 2)
-    upsert(batch.filter("v > 1").withColumn("v", F.col("v") + 10), path)
-    assert [v for _, v, *_ in _stored(spark, path)] == [0, 1, 12, 13, 14, 15]
+    assert upsert(batch.filter("v <> 1").withColumn("v", F.col("v") + 10), path) == 5
+    rows = spark.read.parquet(path).collect()
+    assert sorted(r.v for r in rows) == [1, 10, 12, 13, 14, 15, 99]
 
 
 def test_a_missing_table_reads_as_empty(spark, folder):
