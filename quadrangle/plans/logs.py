@@ -43,7 +43,7 @@ def write(rows, root):
 
 
 def log(spark, root, level, message, university, faculty, ts, source=None):
-    """Append one entry."""
+    """Append one entry. Many entries belong into one `log_rows` and `write`."""
     entry = spark.createDataFrame(
         [(ts, level, message, university, faculty, source)],
         "ts timestamp, level string, message string, university string, faculty string, source string",

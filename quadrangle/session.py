@@ -6,15 +6,34 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def build_session(app_name="quadrangle"):
-    """A session with the settings the jobs are tuned for; master comes from the launcher."""
-    return (
+PARTITION_BYTES = 512 * 1024 * 1024
+MAX_PARTITIONS = 100_000
+
+
+def shuffle_partitions(input_bytes):
+    """Shuffle partitions of about `PARTITION_BYTES` each.
+
+    Never below Spark's default, nor above what a driver can track and a table can be
+    bucketed into; beyond that partitions grow, and spill.
+    """
+    return min(MAX_PARTITIONS, max(200, -(-input_bytes // PARTITION_BYTES)))
+
+
+def build_session(app_name="quadrangle", input_bytes=None):
+    """A session with the settings the jobs are tuned for; master comes from the launcher.
+
+    `input_bytes` sizes the shuffles for inputs far above what 200 partitions can hold;
+    adaptive execution merges what turns out small.
+    """
+    builder = (
         SparkSession.builder.appName(app_name)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .getOrCreate()
     )
+    if input_bytes is not None:
+        builder = builder.config("spark.sql.shuffle.partitions", shuffle_partitions(input_bytes))
+    return builder.getOrCreate()
 
 
 def shared_dir(spark):
