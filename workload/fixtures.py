@@ -223,9 +223,10 @@ def stored_documents(spark, sf_dir):
 
 
 def document_sidecars(spark, sf_dir):
-    """sidecars; every sixth document has none."""
-    return table(spark, sf_dir, "documents").filter(_mod("doc_id", 6) != 0).select(
-        _object_path().alias("object_path"),
+    """sidecars; every sixth lies under another name, so that its document has none."""
+    lost = F.when(_mod("doc_id", 6) == 0, ".lost").otherwise("")
+    return table(spark, sf_dir, "documents").select(
+        F.concat(_object_path(), lost).alias("object_path"),
         F.concat(F.lit("https://h/doc/"), F.col("doc_id").cast("string")).alias("source_url"),
         F.col("source").alias("university"),
         F.col("lang").alias("faculty"),
@@ -300,7 +301,6 @@ def html_objects(spark, sf_dir):
 
 
 def later_html_objects(spark, sf_dir):
-    """A second crawl: pages with a query have changed, pages with a fragment got a new name."""
-    pages = table(spark, sf_dir, "pages").filter(F.col("url").contains("?") | F.col("url").contains("#"))
-    changed = pages.withColumn("html", F.concat(F.lit("<!-- v2 -->"), "html"))
+    """A second crawl of all pages, changed; those with a fragment got a new name."""
+    changed = table(spark, sf_dir, "pages").withColumn("html", F.concat(F.lit("<!-- v2 -->"), "html"))
     return _html_object(changed, F.substring_index("url", "#", 1))

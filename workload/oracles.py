@@ -232,10 +232,7 @@ def _documents(pages, url, html, stamp):
 
 
 _SEARCH = _documents("pages", "url", "html", _STAMP)
-_LATER_SEARCH = _documents(
-    "(SELECT * FROM pages WHERE contains(url, '?') OR contains(url, '#'))",
-    "regexp_replace(url, '#.*$', '')", "'<!-- v2 -->' || html", _STAMP2,
-)
+_LATER_SEARCH = _documents("pages", "regexp_replace(url, '#.*$', '')", "'<!-- v2 -->' || html", _STAMP2)
 
 _RESOLVE = """
     WITH stored AS (
