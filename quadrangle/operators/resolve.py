@@ -19,15 +19,18 @@ def resolve_universities(requested, stored):
 
     `requested`: hint, faculty. `stored`: university, faculty of the existing folders.
     """
-    tried = requested.select("hint", "faculty", F.posexplode(candidate_names(F.col("hint"))).alias("pos", "university"))
-    found = (
-        tried.join(stored.select("university", "faculty").distinct(), ["university", "faculty"])
-        .groupBy("hint", "faculty")
-        .agg(F.min_by("university", "pos").alias("university"))
-    )
+    names = F.posexplode(candidate_names(F.col("hint"))).alias("pos", "university")
+    tried = requested.select("hint", "faculty").distinct().select("hint", "faculty", names)
+    known = stored.select("university", "faculty").distinct().withColumn("is_stored", F.lit(True))
+    first = F.min(F.when(F.col("is_stored"), F.struct("pos", "university"))).alias("first")
     return (
-        requested.select("hint", "faculty").distinct()
-        .join(found, ["hint", "faculty"], "left")
-        .withColumn("found", F.col("university").isNotNull())
-        .withColumn("university", F.coalesce("university", "hint"))
+        tried.join(known, ["university", "faculty"], "left")
+        .groupBy("hint", "faculty")
+        .agg(first)
+        .select(
+            "hint",
+            "faculty",
+            F.coalesce("first.university", "hint").alias("university"),
+            F.col("first").isNotNull().alias("found"),
+        )
     )

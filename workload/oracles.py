@@ -232,7 +232,9 @@ def _documents(pages, url, html, stamp):
 
 
 _SEARCH = _documents("pages", "url", "html", _STAMP)
-_LATER_SEARCH = _documents("pages", "regexp_replace(url, '#.*$', '')", "'<!-- v2 -->' || html", _STAMP2)
+# pages that differ in their fragment only share a name now; the first content is kept
+_LATER_SEARCH = _documents("pages", "regexp_replace(url, '#.*$', '')", "'<!-- v2 -->' || html", _STAMP2) + """
+    QUALIFY row_number() OVER (PARTITION BY university, faculty, name ORDER BY content) = 1"""
 
 _RESOLVE = """
     WITH stored AS (
