@@ -18,12 +18,14 @@ from quadrangle.plans.profiles import resolved_folders
 from quadrangle.sources.raw import read_payloads
 
 
-def course_documents(payloads):
-    """Payloads whose source URL speaks of a course, flattened."""
-    path = F.col("metadata.source_url")
-    return payloads.filter(any_of([F.lower(path).contains(k) for k in COURSE_KEYWORDS])).select(
-        path.alias("source_path"), F.col("text").alias("text_content"), "university", "faculty"
-    )
+def is_course(path):
+    """The source path carries one of the course keywords."""
+    return any_of([F.lower(path).contains(keyword) for keyword in COURSE_KEYWORDS])
+
+
+def file_stem(path):
+    """Name of a `.pdf` file without its ending, "" for other paths."""
+    return F.regexp_extract(path, PDF_STEM_PATTERN, 1)
 
 
 def course_name(raw_filename):
@@ -32,22 +34,26 @@ def course_name(raw_filename):
     return F.when(F.trim(name) != "", name).otherwise(raw_filename)
 
 
-COURSE_KEY = ["university", "faculty", "record_id"]
-
-
-def _named_courses(payloads):
-    stem = F.regexp_extract("source_path", PDF_STEM_PATTERN, 1)
-    keyed = course_documents(payloads).withColumns(
-        {"raw_filename": stem, "course_name": course_name(stem)}
-    ).withColumn("record_id", record_key(F.col("raw_filename"), F.col("faculty")))
-    return keyed.filter(F.col("course_name").isNotNull())
+def course_documents(payloads):
+    """Payloads whose source URL speaks of a course, flattened."""
+    path = F.col("metadata.source_url")
+    return payloads.filter(is_course(path)).select(
+        path.alias("source_path"), F.col("text").alias("text_content"), "university", "faculty"
+    )
 
 
 def course_catalog(payloads, run_ts):
     """One course per file stem and faculty; the lowest source path wins."""
+    named = course_documents(payloads).withColumn("raw_filename", file_stem(F.col("source_path")))
+    keyed = named.withColumns(
+        {
+            "course_name": course_name(F.col("raw_filename")),
+            "record_id": record_key(F.col("raw_filename"), F.col("faculty")),
+        }
+    )
     survivors = first_per_key(
-        _named_courses(payloads),
-        COURSE_KEY,
+        keyed.filter(F.col("course_name").isNotNull()),
+        ["university", "faculty", "record_id"],
         [F.asc("source_path"), F.asc_nulls_last("text_content")],
     )
     return survivors.withColumns(
@@ -60,9 +66,13 @@ def course_catalog(payloads, run_ts):
     ).select(*schemas.COURSE.names)
 
 
-def course_keys(payloads):
-    """The keys `course_catalog` has a row for; for counts, which need no text."""
-    return _named_courses(payloads).select(*COURSE_KEY).distinct()
+def row_counts(payloads):
+    """One row: raw payloads, and courses `course_catalog` makes of them, in one pass
+    that reads no text."""
+    path = F.col("metadata.source_url")
+    stem = F.when(is_course(path), file_stem(path)).alias("stem")
+    per_key = payloads.groupBy("university", "faculty", stem).agg(F.count(F.lit(1)).alias("rows"))
+    return per_key.agg(F.sum("rows").alias("raw_rows"), F.count("stem").alias("clean_rows"))
 
 
 def preview(courses, rows=20):

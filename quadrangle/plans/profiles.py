@@ -12,9 +12,6 @@ from quadrangle.operators.upsert import upsert
 from quadrangle.sources.raw import read_authors, stored_partitions
 
 
-PROFILE_KEY = ["university", "faculty", "author_id"]
-
-
 def faculty_profiles(authors, run_ts):
     """One named profile per author and faculty.
 
@@ -33,7 +30,7 @@ def faculty_profiles(authors, run_ts):
     )
     survivors = first_per_key(
         named,
-        PROFILE_KEY,
+        ["university", "faculty", "author_id"],
         [
             F.desc_nulls_last("works_count"),
             F.asc("full_name"),
@@ -53,10 +50,12 @@ def faculty_profiles(authors, run_ts):
     ).select(*schemas.PROFILE.names)
 
 
-def profile_keys(authors):
-    """The keys `faculty_profiles` has a row for; for counts, which need no survivor."""
-    named = authors.filter(F.col("display_name").isNotNull())
-    return named.withColumnRenamed("id", "author_id").select(*PROFILE_KEY).distinct()
+def row_counts(authors):
+    """One row: raw authors, and profiles `faculty_profiles` makes of them, in one pass."""
+    per_key = authors.groupBy("university", "faculty", "id").agg(
+        F.count(F.lit(1)).alias("rows"), F.count("display_name").alias("named")
+    )
+    return per_key.agg(F.sum("rows").alias("raw_rows"), F.count_if(F.col("named") > 0).alias("clean_rows"))
 
 
 def preview(profiles, rows=10):

@@ -69,18 +69,11 @@ def course_catalog(spark, sf_dir):
     return _naive(_courses(spark, sf_dir), "business_timestamp")
 
 
-def _job_counts(job, raw, keys):
-    raw_rows = raw.select(F.lit(1).alias("is_raw"), F.lit(0).alias("is_clean"))
-    clean_rows = keys.select(F.lit(0).alias("is_raw"), F.lit(1).alias("is_clean"))
-    return raw_rows.union(clean_rows).agg(
-        F.sum("is_raw").alias("raw_rows"), F.sum("is_clean").alias("clean_rows")
-    ).select(F.lit(job).alias("job"), "raw_rows", "clean_rows")
-
-
 def job_counts(spark, sf_dir):
-    authors, documents = fx.authors(spark, sf_dir), fx.course_payloads(spark, sf_dir)
-    return _job_counts("faculty_profiles", authors, profiles.profile_keys(authors)).union(
-        _job_counts("course_catalog", documents, courses.course_keys(documents))
+    staff = profiles.row_counts(fx.authors(spark, sf_dir))
+    lessons = courses.row_counts(fx.course_payloads(spark, sf_dir))
+    return staff.select(F.lit("faculty_profiles").alias("job"), "*").union(
+        lessons.select(F.lit("course_catalog").alias("job"), "*")
     )
 
 
