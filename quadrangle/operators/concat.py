@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from quadrangle.functions.text import strip
 
-PAGES_PER_PART = 10_000
+PAGES_PER_PART = 100_000
 
 
 def join_pages(pages, keys, page_no="page_no", text="text", pages_per_part=PAGES_PER_PART):

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from quadrangle import schemas
 from quadrangle.constants import DOCUMENT_BUCKET, EXTRACTION_TYPE, TEXT_BUCKET
 from quadrangle.functions.text import iso_timestamp, json_extension, text_or_empty
-from quadrangle.operators.concat import join_pages
+from quadrangle.operators.concat import PAGES_PER_PART, join_pages
 from quadrangle.session import cut
 from quadrangle.sinks.files import land_json
 from quadrangle.sources.raw import not_sidecar
@@ -19,12 +19,16 @@ def document_kind(path):
 
 
 def payloads(documents, sidecars, run_ts):
-    """One payload per document with text.
+    """One payload per document with text, or per part of a very long one.
 
-    `documents`: path, text. `sidecars`: object_path and the manifest fields; a
-    document without one gets empty metadata.
+    `documents`: path, text and, from `join_pages`, part. `sidecars`: object_path and
+    the manifest fields; a document without one gets empty metadata.
     """
     path = F.col("path")
+    target = json_extension(path)
+    if "part" in documents.columns:
+        numbered = F.concat(F.lit(".part"), F.col("part").cast("string"), F.lit(".json"))
+        target = F.when(F.col("part") > 0, F.concat(F.regexp_replace(target, r"\.json\z", ""), numbered)).otherwise(target)
     worded = documents.filter(
         not_sidecar(path) & document_kind(path).isNotNull() & (F.length("text") > 0)
     )
@@ -43,7 +47,7 @@ def payloads(documents, sidecars, run_ts):
         text_or_empty(F.col("crawl_timestamp")).alias("crawl_timestamp"),
         iso_timestamp(run_ts).alias("extract_timestamp"),
         F.md5("text").alias("content_checksum"),
-        F.concat(F.lit(f"s3://{TEXT_BUCKET}/"), json_extension(path)).alias("storage_path"),
+        F.concat(F.lit(f"s3://{TEXT_BUCKET}/"), target).alias("storage_path"),
     )
     return described.select(metadata.alias("metadata"), "text")
 
@@ -73,12 +77,13 @@ def write(payload_rows, root):
     land_json(payload_rows, schemas.PAYLOAD.names, folders, root)
 
 
-def run(page_texts, sidecars, root, run_ts):
+def run(page_texts, sidecars, root, run_ts, pages_per_part=PAGES_PER_PART):
     """Join page texts per document, build the payloads, land them; returns the counts.
 
     `page_texts`: path, page_no, text. Texts are assembled once; the counts read only
     paths and lengths of the assembled table.
     """
-    documents = cut(join_pages(page_texts, ["path"]).withColumn("n_chars", F.length("text")))
+    joined = join_pages(page_texts, ["path"], pages_per_part=pages_per_part)
+    documents = cut(joined.withColumn("n_chars", F.length("text")))
     write(payloads(documents, sidecars, run_ts), root)
-    return extraction_counts(documents)
+    return extraction_counts(documents.groupBy("path").agg(F.max("n_chars").alias("n_chars")))

@@ -151,6 +151,16 @@ def test_extraction_then_course_job(spark, folder):
     assert len(courses.preview(spark.read.parquet(table)).collect()) == 2
 
 
+def test_a_very_long_document_continues_in_further_payloads(spark, folder):
+    pages = spark.createDataFrame([("university=u/faculty=f/a.pdf", i, f"p{i}") for i in range(7)], "path string, page_no long, text string")
+    no_sidecars = spark.createDataFrame([], schemas.with_partitions(schemas.MANIFEST, "object_path"))
+    counts = payloads.run(pages, no_sidecars, f"{folder}/r", now(), pages_per_part=3).first()
+    assert counts.asDict() == {"pdf": 1, "docx": 0, "skipped": 0, "errors": 0}
+    rows = {r.metadata.storage_path: r.text for r in raw.read_payloads(spark, f"{folder}/r").collect()}
+    base = "s3://raw-json/university=u/faculty=f/a"
+    assert rows == {f"{base}.json": "p0\np1\np2", f"{base}.part1.json": "p3\np4\np5", f"{base}.part2.json": "p6"}
+
+
 def test_payloads_as_single_objects(spark, folder):
     root = f"{folder}/raw-json"
     path = f"{root}/university=Hassan II/faculty=F S/year=2024/month=06/day=01/x.json"
