@@ -37,15 +37,15 @@ def authors_root(folder):
     root = f"{folder}/raw-json"
     day = "type=authors/year=2024/month=06/day=01"
     for university, faculty, rows in (
-        ("hassan_ii", "FSAC", [author("A1", "Ann", 5), author("A1", "Ann", 9), author("A2", None), author("A3", "Cyd", 1, None)]),
-        ("Cadi Ayyad", "FSSM", [author("A1", "Ann", 4)]),
+        ("hassan_ii", "SCI1", [author("A1", "Ann", 5), author("A1", "Ann", 9), author("A2", None), author("A3", "Cyd", 1, None)]),
+        ("Cadi Ayyad", "SCI2", [author("A1", "Ann", 4)]),
         ("other", "X", [author("A9", "Zed")]),
     ):
         base = f"{root}/university={university}/faculty={faculty}/{day}/authors_0.json"
         put(base, json.dumps(rows, indent=1))
         put(base + ".meta.json", json.dumps({"source": "openalex", "university": university, "records_count": 4}))
-    put(f"{root}/university=hassan_ii/faculty=FSAC/{day}/authors_1.json", '[{"id": "A4", broken')
-    put(f"{root}/university=hassan2/faculty=FSAC/year=2024/month=06/day=01/doc.json", '{"metadata": {}, "text": "t"}')
+    put(f"{root}/university=hassan_ii/faculty=SCI1/{day}/authors_1.json", '[{"id": "A4", broken')
+    put(f"{root}/university=hassan2/faculty=SCI1/year=2024/month=06/day=01/doc.json", '{"metadata": {}, "text": "t"}')
     return root
 
 
@@ -58,15 +58,15 @@ def test_author_scan_leaves_out_sidecars_and_broken_objects(spark, authors_root)
 
 
 def test_author_scan_reads_only_the_requested_folders(spark, authors_root):
-    scan = raw.read_authors(spark, authors_root, [("Cadi Ayyad", "FSSM")], multi_line=True)
-    assert [(r.id, r.faculty) for r in scan.collect()] == [("A1", "FSSM")]
+    scan = raw.read_authors(spark, authors_root, [("Cadi Ayyad", "SCI2")], multi_line=True)
+    assert [(r.id, r.faculty) for r in scan.collect()] == [("A1", "SCI2")]
     plan = scan._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "PartitionFilters: []" not in plan
 
 
 def test_profile_job(spark, authors_root, folder):
     table = f"{folder}/faculty_profiles"
-    asked = [("hassan2", "FSAC"), ("cadi_ayyad", "FSSM"), ("nowhere", "Y")]
+    asked = [("hassan2", "SCI1"), ("cadi_ayyad", "SCI2"), ("nowhere", "Y")]
     # hassan2 itself has a folder for the faculty, but without authors
     counts = profiles.run(spark, authors_root, table, asked, now(), multi_line=True)
     assert counts == {"raw": 5, "clean": 3}
@@ -75,7 +75,7 @@ def test_profile_job(spark, authors_root, folder):
         ("A1", 4, "P", "Cadi Ayyad"), ("A1", 9, "P", "hassan_ii"), ("A3", 1, None, "hassan_ii"),
     ]
     ann = next(r for r in stored if r.university == "hassan_ii" and r.author_id == "A1")
-    assert ann.record_id == hashlib.md5(b"A1_FSAC").hexdigest()
+    assert ann.record_id == hashlib.md5(b"A1_SCI1").hexdigest()
     assert (ann.source_system, ann.is_deleted, ann.language) == ("openalex_api", False, "en")
     assert profiles.run(spark, authors_root, table, asked, now(), multi_line=True) == counts
     assert spark.read.parquet(table).count() == 3
@@ -115,15 +115,15 @@ def test_course_names(spark):
 def test_extraction_then_course_job(spark, folder):
     """Page texts and sidecars -> landed payloads -> course table."""
     root, docs = f"{folder}/raw-json", f"{folder}/raw-documents"
-    base = "university=hassan2/faculty=FSAC/year=2024/month=06/day=01"
+    base = "university=hassan2/faculty=SCI1/year=2024/month=06/day=01"
     names = {"a.pdf": "https://h/formation/Filiere_A.pdf", "b.docx": "https://h/cursus/b.pdf", "c.doc": None, "d.document": None, "e.pdf": "https://h/cursus/e.pdf"}
     for name, url in names.items():
         put(f"{docs}/{base}/{name}", b"\x00binary")
         if url:
-            put(f"{docs}/{base}/{name}.meta.json", json.dumps({"source_url": url, "university": "hassan2", "faculty": "FSAC", "depth_level": 1, "crawl_timestamp": "2024-05-31T07:00:00"}, indent=2))
+            put(f"{docs}/{base}/{name}.meta.json", json.dumps({"source_url": url, "university": "hassan2", "faculty": "SCI1", "depth_level": 1, "crawl_timestamp": "2024-05-31T07:00:00"}, indent=2))
     listed = raw.list_objects(spark, docs).collect()
     assert sorted(os.path.basename(r.path) for r in listed) == sorted(names)
-    assert {(r.university, r.faculty, r.length) for r in listed} == {("hassan2", "FSAC", 7)}
+    assert {(r.university, r.faculty, r.length) for r in listed} == {("hassan2", "SCI1", 7)}
 
     sidecars = raw.read_sidecars(spark, docs).withColumn("object_path", F.regexp_extract("object_path", r"(university=.*)", 1))
     assert sidecars.count() == 3
@@ -140,12 +140,12 @@ def test_extraction_then_course_job(spark, folder):
     assert first.text == "first\nsecond" and first.metadata.content_checksum == hashlib.md5(b"first\nsecond").hexdigest()
     assert first.metadata.storage_path == f"s3://raw-json/{base}/a.json"
     assert (landed[f"{base}/c.doc"].metadata.source_url, landed[f"{base}/c.doc"].metadata.university) == ("", "")
-    assert (first.university, first.faculty) == ("hassan2", "FSAC")
+    assert (first.university, first.faculty) == ("hassan2", "SCI1")
 
     # other JSON in the same tree does not become a course
-    put(f"{root}/university=hassan2/faculty=FSAC/type=authors/year=2024/month=06/day=01/x.json", '{"id": "A1", "display_name": "formation"}')
+    put(f"{root}/university=hassan2/faculty=SCI1/type=authors/year=2024/month=06/day=01/x.json", '{"id": "A1", "display_name": "formation"}')
     table = f"{folder}/course_catalog"
-    assert courses.run(spark, root, table, [("hassan2", "FSAC")], now()) == {"raw": 4, "clean": 2}
+    assert courses.run(spark, root, table, [("hassan2", "SCI1")], now()) == {"raw": 4, "clean": 2}
     stored = spark.read.schema(schemas.COURSE).parquet(table).collect()
     assert sorted((r.course_name, r.text_content) for r in stored) == [("A", "first\nsecond"), ("b", "para")]
     assert len(courses.preview(spark.read.parquet(table)).collect()) == 2
@@ -201,25 +201,25 @@ def test_folder_names_with_special_characters(spark, folder):
 
 def test_landing_job(spark, folder):
     authors = spark.createDataFrame(
-        [("A%04d" % i, f"n{i}", None, 1, 1, [("P",)], "Hassan II", "FSAC") for i in range(505)],
+        [("A%04d" % i, f"n{i}", None, 1, 1, [("P",)], "Hassan II", "SCI1") for i in range(505)],
         schemas.with_partitions(schemas.AUTHOR, "university", "faculty"),
     )
     works = spark.createDataFrame(
-        [("https://h/W1", "t1", 2020, None, "article", None, None, "Hassan II", "FSAC"), ("https://h/W2", "t2", None, 3, "book", "d", (True,), "Hassan II", "FSAC")],
+        [("https://h/W1", "t1", 2020, None, "article", None, None, "Hassan II", "SCI1"), ("https://h/W2", "t2", None, 3, "book", "d", (True,), "Hassan II", "SCI1")],
         schemas.with_partitions(schemas.WORK, "university", "faculty"),
     )
     root, sidecars = f"{folder}/raw-json", f"{folder}/raw-json-meta"
     landing.run(authors, works, root, sidecars, now())
-    landed = raw.read_authors(spark, root, [("hassan_ii", "FSAC")])
+    landed = raw.read_authors(spark, root, [("hassan_ii", "SCI1")])
     assert landed.count() == 500 and landed.agg(F.max("id")).first()[0] == "A0499"
     publications = spark.read.schema(schemas.PUBLICATION).json(
-        f"{root}/university=hassan_ii/faculty=FSAC/type=publications/year=2024/month=06/day=01"
+        f"{root}/university=hassan_ii/faculty=SCI1/type=publications/year=2024/month=06/day=01"
     )
     rows = {r.work_id: r for r in publications.collect()}
     one = rows["https://h/W1"]
     assert (one.university, one.type, one.cited_by_count, one.open_access, one.retrieved_at) == ("Hassan II", "article", 0, False, "2024-06-01 08:30:00")
     assert (rows["https://h/W2"].cited_by_count, rows["https://h/W2"].open_access) == (3, True)
-    raw_line = spark.read.text(f"{root}/university=hassan_ii/faculty=FSAC/type=publications").filter("value like '%W1%'").first().value
+    raw_line = spark.read.text(f"{root}/university=hassan_ii/faculty=SCI1/type=publications").filter("value like '%W1%'").first().value
     assert '"doi":null' in raw_line
     counts = spark.read.schema(schemas.LANDING_SIDECAR).option("recursiveFileLookup", "true").json(sidecars).collect()
     assert sorted((r.data_type, r.records_count, r.university, r.source) for r in counts) == [
