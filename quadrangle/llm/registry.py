@@ -1,5 +1,7 @@
 """The registered queries of this subpackage, and their SQL where SQL can express them."""
 
+from quadrangle.llm.lines import LINE_DEDUP_SQL, line_dedup_digests
+from quadrangle.llm.minhash import near_duplicates
 from quadrangle.llm.substrings import drop_repeated_substrings
 
 
@@ -7,12 +9,24 @@ def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op6_minhash_near_dedup(spark, sf_dir):
+    return near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
+
+
 def op7_substring_dedup(spark, sf_dir):
     return drop_repeated_substrings(table(spark, sf_dir, "documents")).drop("kept_text")
 
 
+def op10_line_dedup(spark, sf_dir):
+    return line_dedup_digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_substring_dedup": op7_substring_dedup,
+    "op10_line_dedup": op10_line_dedup,
 }
 
-ORACLES = {}
+ORACLES = {
+    "op10_line_dedup": LINE_DEDUP_SQL,
+}
