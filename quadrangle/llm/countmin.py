@@ -13,10 +13,10 @@ import pyarrow as pa
 from quadrangle.llm.textscan import mix
 
 BLOCK_BITS = 16
-MAX_CELLS = 1 << 28
+MAX_CELLS = 1 << 27
 MIN_CELLS = 1 << 20
 CELLS_PER_KEY = 8
-PARTIAL_KEYS = 1 << 21
+PARTIAL_KEYS = 1 << 19
 PARTIAL_SCHEMA = "block int, cells binary"
 
 _U = np.uint64

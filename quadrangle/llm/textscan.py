@@ -9,8 +9,8 @@ grows only for a single word longer than it.
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 20
-PIECE_BYTES = 8 << 20
+SLICE_BYTES = 1 << 18
+PIECE_BYTES = 2 << 20
 GROUP_SEED = 20240607
 
 _U = np.uint64
