@@ -1,14 +1,30 @@
 """The registered queries of this subpackage, and their SQL where SQL can express them."""
 
+from quadrangle.llm.decontaminate import CONTAMINATION_SQL, contamination
+from quadrangle.llm.language import identify
 from quadrangle.llm.lines import LINE_DEDUP_SQL, line_dedup_digests
 from quadrangle.llm.minhash import near_duplicates
+from quadrangle.llm.neighbours import nearest
 from quadrangle.llm.substrings import drop_repeated_substrings
+from quadrangle.llm.toxicity import toxicity
 
 
 def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_decontamination(spark, sf_dir):
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op3_toxicity(spark, sf_dir):
+    return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op4_language_id(spark, sf_dir):
+    return identify(table(spark, sf_dir, "documents"))
+
+
 def op6_minhash_near_dedup(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
 
@@ -17,16 +33,25 @@ def op7_substring_dedup(spark, sf_dir):
     return drop_repeated_substrings(table(spark, sf_dir, "documents")).drop("kept_text")
 
 
+def op9_nearest_vectors(spark, sf_dir):
+    return nearest(table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0")
+
+
 def op10_line_dedup(spark, sf_dir):
     return line_dedup_digests(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {
+    "op2_decontamination": op2_decontamination,
+    "op3_toxicity": op3_toxicity,
+    "op4_language_id": op4_language_id,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_substring_dedup": op7_substring_dedup,
+    "op9_nearest_vectors": op9_nearest_vectors,
     "op10_line_dedup": op10_line_dedup,
 }
 
 ORACLES = {
+    "op2_decontamination": CONTAMINATION_SQL,
     "op10_line_dedup": LINE_DEDUP_SQL,
 }
