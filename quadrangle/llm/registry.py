@@ -5,6 +5,7 @@ from quadrangle.llm.language import identify
 from quadrangle.llm.lines import LINE_DEDUP_SQL, line_dedup_digests
 from quadrangle.llm.minhash import near_duplicates
 from quadrangle.llm.neighbours import nearest
+from quadrangle.llm.sharding import SHARDS_SQL, document_shards
 from quadrangle.llm.substrings import drop_repeated_substrings
 from quadrangle.llm.toxicity import toxicity
 
@@ -13,6 +14,10 @@ def table(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_sharding(spark, sf_dir):
+    return document_shards(table(spark, sf_dir, "documents"))
+
+
 def op2_decontamination(spark, sf_dir):
     return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -42,6 +47,7 @@ def op10_line_dedup(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_sharding": op1_sharding,
     "op2_decontamination": op2_decontamination,
     "op3_toxicity": op3_toxicity,
     "op4_language_id": op4_language_id,
@@ -52,6 +58,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op1_sharding": SHARDS_SQL,
     "op2_decontamination": CONTAMINATION_SQL,
     "op10_line_dedup": LINE_DEDUP_SQL,
 }
