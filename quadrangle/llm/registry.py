@@ -5,6 +5,7 @@ from quadrangle.llm.language import identify
 from quadrangle.llm.lines import LINE_DEDUP_SQL, line_dedup_digests
 from quadrangle.llm.minhash import near_duplicates
 from quadrangle.llm.neighbours import nearest
+from quadrangle.llm.sentencepieces import document_pieces
 from quadrangle.llm.sharding import SHARDS_SQL, document_shards
 from quadrangle.llm.substrings import drop_repeated_substrings
 from quadrangle.llm.toxicity import toxicity
@@ -38,6 +39,10 @@ def op7_substring_dedup(spark, sf_dir):
     return drop_repeated_substrings(table(spark, sf_dir, "documents")).drop("kept_text")
 
 
+def op8_sentencepiece(spark, sf_dir):
+    return document_pieces(table(spark, sf_dir, "documents"))
+
+
 def op9_nearest_vectors(spark, sf_dir):
     return nearest(table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0")
 
@@ -53,6 +58,7 @@ QUERIES = {
     "op4_language_id": op4_language_id,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_substring_dedup": op7_substring_dedup,
+    "op8_sentencepiece": op8_sentencepiece,
     "op9_nearest_vectors": op9_nearest_vectors,
     "op10_line_dedup": op10_line_dedup,
 }

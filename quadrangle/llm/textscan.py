@@ -109,6 +109,22 @@ def scan(data, offsets, lower=False, breaks=None):
     return np.concatenate([np.zeros(0, np.uint64), *hashes]), rows, first, last
 
 
+def segment_hashes(data, starts):
+    """Hash of every segment of `data`; segments begin at `starts` and tile the bytes."""
+    ends = np.r_[starts[1:], len(data)]
+    out, lo = np.zeros(len(starts), np.uint64), 0
+    while lo < len(starts):
+        hi = max(lo + 1, int(np.searchsorted(ends, starts[lo] + SLICE_BYTES, side="right")))
+        begin, stop = starts[lo], ends[hi - 1]
+        up, down = _powers(int(stop - begin) + 1)
+        run = np.zeros(stop - begin + 1, np.uint64)
+        np.cumsum(_BYTE[data[begin:stop]] * up[: stop - begin], out=run[1:])
+        a, b = starts[lo:hi] - begin, ends[lo:hi] - begin
+        out[lo:hi] = mix((run[b] - run[a]) * down[a])
+        lo = hi
+    return out
+
+
 def grams(hashes, rows, k):
     """Hash of every run of `k` words of one row, and the index of its first word."""
     n = len(hashes) - k + 1
