@@ -8,6 +8,7 @@ from quadrangle.llm.neighbours import nearest
 from quadrangle.llm.sentencepieces import document_pieces
 from quadrangle.llm.sharding import SHARDS_SQL, document_shards
 from quadrangle.llm.substrings import drop_repeated_substrings
+from quadrangle.llm.tokencount import document_edits
 from quadrangle.llm.toxicity import toxicity
 
 
@@ -31,6 +32,10 @@ def op4_language_id(spark, sf_dir):
     return identify(table(spark, sf_dir, "documents"))
 
 
+def op5_token_counts(spark, sf_dir):
+    return document_edits(table(spark, sf_dir, "documents"))
+
+
 def op6_minhash_near_dedup(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
 
@@ -56,6 +61,7 @@ QUERIES = {
     "op2_decontamination": op2_decontamination,
     "op3_toxicity": op3_toxicity,
     "op4_language_id": op4_language_id,
+    "op5_token_counts": op5_token_counts,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_sentencepiece": op8_sentencepiece,
