@@ -10,6 +10,7 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from workload.queries import QUERIES  # noqa: E402
+from workload.trial import ensure_scratch  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -25,6 +26,7 @@ def main():
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    ensure_scratch(spark)
     spark.range(1000).selectExpr("sum(id)").collect()
     seconds = {}
     for name, query in QUERIES.items():

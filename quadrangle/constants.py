@@ -41,9 +41,6 @@ DYNAMIC_MARKERS = [
 
 # --- fixed values: limits that are part of the jobs
 MAX_CRAWL_DEPTH = 3
-MAX_AUTHORS_PER_FACULTY = 500
-MAX_WORKS_PER_FACULTY = 5000
-SEARCH_CONTENT_CHARS = 10000
 
 # --- fixed values: constant columns of the curated tables
 PROFILE_SOURCE, PROFILE_LANGUAGE = "openalex_api", "en"

@@ -1,6 +1,8 @@
 """Text, key, time and JSON expressions."""
 
+import json
 from functools import reduce
+from html.entities import html5
 
 from pyspark.sql import functions as F
 
@@ -46,13 +48,16 @@ def text_or_empty(column):
 def lossy_utf8(raw):
     """Decode bytes as UTF-8, leaving out whatever is not valid.
 
-    A replacement character that the bytes really contain is kept: it is parked on
-    a Unicode noncharacter while the invalid bytes are replaced and removed.
+    A replacement character that the bytes really contain is kept: it is spelled with a
+    mark while the invalid bytes are replaced and removed. Marks that the text already
+    holds are spelled out first, so that nothing is mistaken for one.
     """
-    bad, parked = F.lit("�"), F.lit("﷐")
+    bad, mark = F.lit("�"), "\uFDD0"
     text = raw.cast("string")
-    cleaned = F.replace(F.make_valid_utf8(F.replace(text, bad, parked)), bad, F.lit(""))
-    return F.when(F.is_valid_utf8(text), text).otherwise(F.replace(cleaned, parked, bad))
+    marked = F.replace(F.replace(text, F.lit(mark), F.lit(mark + "0")), bad, F.lit(mark + "1"))
+    cleaned = F.replace(F.make_valid_utf8(marked), bad, F.lit(""))
+    spelled = F.replace(F.replace(cleaned, F.lit(mark + "1"), bad), F.lit(mark + "0"), F.lit(mark))
+    return F.when(F.is_valid_utf8(text), text).otherwise(spelled)
 
 
 def iso_timestamp(ts):
@@ -102,9 +107,10 @@ def looks_dynamic(html):
 
 def _numeric_references(pattern, base):
     def put(done, reference):
-        code = F.lpad(F.conv(F.regexp_extract(reference, pattern, 1), base, 16), 8, "0")
-        surrogate = code.rlike("^0000D[89A-F]")
-        char = F.when(surrogate, "�").otherwise(F.decode(F.unhex(code), "UTF-32"))
+        digits = F.regexp_extract(reference, pattern, 1)
+        code = F.lpad(F.conv(F.when(F.length(digits) < 8, digits), base, 16), 8, "0")
+        none = code.isNull() | code.rlike("^0000D[89A-F]") | (code > "0010FFFF")
+        char = F.when(none, "�").otherwise(F.decode(F.unhex(F.when(~none, code)), "UTF-32"))
         return F.replace(done, reference, char)
 
     def decode(text):
@@ -114,19 +120,31 @@ def _numeric_references(pattern, base):
     return decode
 
 
+# the names HTML defines, as the standard library lists them; ampersands come last
+NAMED_REFERENCES = {name[:-1]: char for name, char in html5.items() if name.endswith(";") and char != "&"}
+
+
 def _named_references(text):
-    for name, char in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "'"), ("amp", "&")):
-        text = F.replace(text, F.lit(f"&{name};"), F.lit(char))
-    return text
+    """Replace `&name;` of every name that HTML defines; unknown names stay."""
+    table = F.from_json(F.lit(json.dumps(NAMED_REFERENCES)), "map<string,string>")
+    pattern = "&([A-Za-z][A-Za-z0-9]*);"
+    found = F.array_distinct(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)))
+
+    def put(done, name):
+        written = F.concat(F.lit("&"), name, F.lit(";"))
+        return F.replace(done, written, F.coalesce(F.try_element_at(table, name), written))
+
+    named = F.when(text.rlike(pattern), F.aggregate(found, text, put)).otherwise(text)
+    return F.replace(F.replace(named, F.lit("&AMP;"), F.lit("&")), F.lit("&amp;"), F.lit("&"))
 
 
-# Steps that replace character references in attribute values: numeric ones and the five
-# of XML. A numeric ampersand is spelled out first, so that it starts no new reference.
+# Steps that replace character references in attribute values: numeric ones, and names.
+# A numeric ampersand is spelled out first, so that it starts no new reference.
 UNESCAPE_STEPS = (
     lambda text: F.when(
         text.contains("&#"), F.regexp_replace(text, r"&#(?:0*38|[xX]0*26);", "&amp;")
     ).otherwise(text),
-    _numeric_references(r"&#0*([1-9][0-9]{0,5});", 10),
-    _numeric_references(r"&#[xX]0*([1-9a-fA-F][0-9a-fA-F]{0,4});", 16),
+    _numeric_references(r"&#0*([1-9][0-9]*);", 10),
+    _numeric_references(r"&#[xX]0*([1-9a-fA-F][0-9a-fA-F]*);", 16),
     _named_references,
 )

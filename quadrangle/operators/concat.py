@@ -4,22 +4,18 @@ from pyspark.sql import functions as F
 
 from quadrangle.functions.text import strip
 
-PAGES_PER_PART = 100_000
 
-
-def join_pages(pages, keys, page_no="page_no", text="text", pages_per_part=PAGES_PER_PART):
+def join_pages(pages, keys, page_no="page_no", text="text"):
     """Non-empty page texts in page order, one per line, edge whitespace removed.
 
-    Returns `keys`, part, text. A document has one row; one with more pages than
-    `pages_per_part` continues in further numbered parts, each built by its own task,
-    so no page is left out and no task has to hold more than a part.
+    Returns `keys` and text, one row per document: a document is one string by
+    definition, and one that no string can hold fails the job rather than losing pages.
     """
-    part = F.expr(f"CAST(`{page_no}` DIV {pages_per_part} AS INT)")
     spoken = F.when(F.col(text) != "", F.col(text))
     joined = F.expr(r"listagg(_text, '\n') WITHIN GROUP (ORDER BY _page)")
     return (
-        pages.select(*keys, part.alias("part"), F.col(page_no).alias("_page"), spoken.alias("_text"))
-        .groupBy(*keys, "part")
+        pages.select(*keys, F.col(page_no).alias("_page"), spoken.alias("_text"))
+        .groupBy(*keys)
         .agg(joined.alias("text"))
         .withColumn("text", F.coalesce(strip(F.col("text")), F.lit("")))
     )

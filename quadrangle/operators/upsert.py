@@ -5,15 +5,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from quadrangle.operators.latest import first_per_key
-from quadrangle.session import scratch_path
+from quadrangle.session import cut
 
-MAX_LISTED_PARTITIONS = 2_000
+SLOTS = 32
+SLOT = "key_slot"
 
 
 def read_table(spark, path, schema):
     """The stored rows, or an empty table where nothing has been written yet."""
     try:
-        return spark.read.schema(schema).parquet(path)
+        return spark.read.schema(schema).parquet(path).select(*schema.names)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -25,29 +26,17 @@ def _same(left, right, columns):
     return [left[c].eqNullSafe(right[c]) for c in columns]
 
 
-def _only_touched(stored, staged, partitions):
-    """Stored rows of the partitions that the batch touches, and how many those are.
-
-    The partition list is read from the staged batch (no data columns) and becomes a
-    partition filter, so other folders are never opened. A longer list than may be
-    held in a filter falls back to a semi join with the same result.
-    """
-    touched = staged.select(*partitions).distinct()
-    listed = touched.limit(MAX_LISTED_PARTITIONS + 1).collect()
-    if len(listed) > MAX_LISTED_PARTITIONS:
-        return stored.join(touched, _same(stored, touched, partitions), "left_semi"), touched.count()
-    kinds = {p: stored.schema[p].dataType for p in partitions}
-    wanted = [F.struct(*[F.lit(row[p]).cast(kinds[p]) for p in partitions]) for row in listed]
-    return stored.filter(F.struct(*[F.col(p) for p in partitions]).isin(wanted)), len(listed)
-
-
-def upsert(batch, path, keys=("record_id",), order="business_timestamp", partitions=("university", "faculty")):
-    """Merge `batch` into the table at `path`; returns the number of touched partitions.
+def upsert(batch, path, keys=("record_id",), order="business_timestamp", partitions=("university", "faculty"), slots=SLOTS):
+    """Merge `batch` into the table at `path`; returns the number of rows put.
 
     Within the batch the newest row per key wins; it replaces the stored row of that
-    key; stored rows without a match stay. A key is scoped to its partition. The batch
-    is staged once, then only touched partitions are rewritten, and Spark swaps them in
-    when the whole write has succeeded. Needs one writer per partition at a time.
+    key; stored rows without a match stay. A key is scoped to its partition. Below the
+    partitions a row lies in one of `slots` folders by the hash of its key, so a batch
+    rewrites only folders that one of its keys falls into; `slots` belongs to the table
+    and must not change. The batch is staged once, and Spark swaps the rewritten folders
+    in when the whole write has succeeded, folder by folder: a crash during the swap
+    leaves some of them new, and running the batch again completes it. Needs one writer
+    per partition at a time, and a committer that supports dynamic overwrite.
     """
     spark, schema = batch.sparkSession, batch.schema
     # a folder cannot tell an empty name from a missing one, so neither may the keys
@@ -56,20 +45,29 @@ def upsert(batch, path, keys=("record_id",), order="business_timestamp", partiti
     scope = [*partitions, *keys]
     rest = [F.col(c).asc() for c in batch.columns if c not in (*scope, order)]
     newest = first_per_key(batch, scope, [F.col(order).desc(), *rest])
-    staging = scratch_path(spark, "upsert")
-    newest.write.parquet(staging)
-    staged = spark.read.schema(schema).parquet(staging)
-
-    stored, touched = _only_touched(read_table(spark, path, schema), staged, partitions)
-    if not touched:
+    staged = cut(newest.withColumn(SLOT, F.pmod(F.xxhash64(*scope), F.lit(slots)).cast("int")))
+    rows = staged.count()
+    if not rows:
         return 0
-    merged = stored.join(staged, _same(stored, staged, scope), "left_anti").unionByName(staged)
+    folders = [*partitions, SLOT]
+    near = touched_rows(read_table(spark, path, staged.schema), staged, partitions)
+    merged = near.join(staged.select(*scope), _same(near, staged, scope), "left_anti").unionByName(staged)
     (
-        # rebalance packs small partitions and splits a partition that holds too much
-        merged.hint("rebalance", *partitions)
+        # rebalance packs small folders and splits a folder that holds too much
+        merged.hint("rebalance", *folders)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*partitions)
+        .partitionBy(*folders)
         .parquet(path)
     )
-    return touched
+    return rows
+
+
+def touched_rows(stored, staged, partitions):
+    """Stored rows of the folders the batch falls into.
+
+    The slots, a bounded set, prune the scan while it runs; the folders select the rest."""
+    slots = staged.select(SLOT).distinct().where(F.col(SLOT) >= 0)
+    near = stored.join(F.broadcast(slots), SLOT, "left_semi")
+    folders = staged.select(*partitions, SLOT).distinct()
+    return near.join(folders, [*_same(near, folders, partitions), near[SLOT] == folders[SLOT]], "left_semi")

@@ -1,6 +1,5 @@
 """Extracted-text payloads -> course catalogue."""
 
-from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from quadrangle import schemas
@@ -38,12 +37,18 @@ def course_documents(payloads):
     """Payloads whose source URL speaks of a course, flattened."""
     path = F.col("metadata.source_url")
     return payloads.filter(is_course(path)).select(
-        path.alias("source_path"), F.col("text").alias("text_content"), "university", "faculty"
+        path.alias("source_path"),
+        F.col("text").alias("text_content"),
+        "university",
+        "faculty",
+        F.col("metadata.extract_timestamp").alias("extract_timestamp"),
+        F.col("metadata.content_checksum").alias("content_checksum"),
     )
 
 
 def course_catalog(payloads, run_ts):
-    """One course per file stem and faculty; the lowest source path wins."""
+    """One course per file stem and faculty; the lowest source path wins, in its newest
+    extraction. Texts are not compared: a checksum settles what ties remain."""
     named = course_documents(payloads).withColumn("raw_filename", file_stem(F.col("source_path")))
     keyed = named.withColumns(
         {
@@ -54,7 +59,7 @@ def course_catalog(payloads, run_ts):
     survivors = first_per_key(
         keyed.filter(F.col("course_name").isNotNull()),
         ["university", "faculty", "record_id"],
-        [F.asc("source_path"), F.asc_nulls_last("text_content")],
+        [F.asc("source_path"), F.desc_nulls_last("extract_timestamp"), F.asc_nulls_last("content_checksum")],
     )
     return survivors.withColumns(
         {
@@ -85,13 +90,12 @@ def preview(courses, rows=20):
 
 
 def run(spark, root, table_path, pairs, run_ts=None, multi_line=False):
-    """Build and upsert the courses of all requested faculties; returns the row counts."""
+    """Build and upsert the courses of all requested faculties.
+
+    Returns the raw rows, counted over keys alone, and the rows of the upserted batch."""
     paths = [path for _, _, path in resolved_folders(spark, root, pairs)]
     payloads = read_payloads(spark, paths, multi_line) if paths else None
     if payloads is None or payloads.isEmpty():
         return {"raw": 0, "clean": 0}
-    raw, clean = Observation(), Observation()
-    counted = payloads.observe(raw, F.count(F.lit(1)).alias("rows"))
-    courses = course_catalog(counted, run_ts if run_ts is not None else F.current_timestamp())
-    upsert(courses.observe(clean, F.count(F.lit(1)).alias("rows")), table_path)
-    return {"raw": raw.get["rows"], "clean": clean.get["rows"]}
+    clean = upsert(course_catalog(payloads, run_ts if run_ts is not None else F.current_timestamp()), table_path)
+    return {"raw": row_counts(payloads).first().raw_rows, "clean": clean}

@@ -6,10 +6,11 @@ from quadrangle import schemas
 from quadrangle.constants import FILE_TYPE_EXTENSIONS, MAX_CRAWL_DEPTH
 from quadrangle.functions.text import day_path, iso_timestamp
 from quadrangle.functions.urls import bucket, file_type, netloc
+from quadrangle.operators.latest import first_per_key
 from quadrangle.operators.links import allowed_link, with_links
 from quadrangle.operators.reach import reach
 from quadrangle.session import cut
-from quadrangle.sinks.files import append_table
+from quadrangle.operators.upsert import upsert
 
 CRAWL = ["university", "faculty"]
 
@@ -97,8 +98,20 @@ def fetched_objects(pages, seeds, max_depth=MAX_CRAWL_DEPTH):
     return visited_urls(described, seeds, max_depth).join(checksums, "url", "left")
 
 
+def store_manifest(rows, path):
+    """Keep the newest manifest row of every stored object; a crawl run again replaces its rows."""
+    return upsert(rows, path, keys=("storage_path",), order="crawl_timestamp")
+
+
+def newest_pages(stored):
+    """url, html: the newest copy of every page, of rows that also have crawl_timestamp."""
+    checksum = F.md5("html")
+    return first_per_key(stored, ["url"], [F.desc_nulls_last("crawl_timestamp"), checksum.asc_nulls_last()]).select("url", "html")
+
+
 def run(pages, seeds, manifest_path, run_ts, max_depth=MAX_CRAWL_DEPTH):
-    """Walk, append the manifest, return the counters per crawl."""
+    """Walk, put the manifest, return the counters per crawl. `pages`: url (unique), html;
+    `newest_pages` makes such a table of pages stored day by day."""
     fetched = cut(fetched_objects(pages, seeds, max_depth))
-    append_table(manifest(fetched, run_ts), manifest_path)
+    store_manifest(manifest(fetched, run_ts), manifest_path)
     return crawl_counts(fetched)

@@ -3,10 +3,9 @@
 from pyspark.sql import functions as F
 
 from quadrangle import schemas
-from quadrangle.constants import LANDING_SOURCE, MAX_AUTHORS_PER_FACULTY, MAX_WORKS_PER_FACULTY
-from quadrangle.functions.text import clock_timestamp, iso_timestamp, slug
+from quadrangle.constants import LANDING_SOURCE
+from quadrangle.functions.text import clock_timestamp, compact_timestamp, iso_timestamp, slug
 from quadrangle.operators.latest import cap_rows
-from quadrangle.session import cut
 from quadrangle.sinks.files import land_json
 
 
@@ -27,8 +26,9 @@ def publications(works, run_ts):
 
 
 def cap_per_faculty(rows, limit):
-    """At most `limit` records per faculty, the first by id."""
-    return cap_rows(rows, ["university", "faculty"], [F.asc("id"), F.asc("display_name")], limit)
+    """At most `limit` records per faculty, the first by id; the other columns settle ties."""
+    order = ["id", "display_name", *(c for c in rows.columns if c not in ("id", "display_name"))]
+    return cap_rows(rows, ["university", "faculty"], [F.asc_nulls_first(c) for c in order], limit)
 
 
 def batch_counts(rows, data_type, run_ts):
@@ -44,7 +44,10 @@ def batch_counts(rows, data_type, run_ts):
 
 
 def land(rows, fields, root, data_type, run_ts):
-    """Write `fields` of each record below university slug, faculty, type and day."""
+    """Write `fields` of each record below university slug, faculty, type, day and batch.
+
+    The batch folder is named from `run_ts`: writing a batch again replaces it, a batch
+    with another time is added beside it."""
     folders = {
         "university": slug(F.col("university")),
         "faculty": F.col("faculty"),
@@ -52,17 +55,17 @@ def land(rows, fields, root, data_type, run_ts):
         "year": F.date_format(run_ts, "yyyy"),
         "month": F.date_format(run_ts, "MM"),
         "day": F.date_format(run_ts, "dd"),
+        "batch": compact_timestamp(run_ts),
     }
     land_json(rows, fields, folders, root)
 
 
 def run(authors, works, root, sidecar_root, run_ts):
-    """Cap, enrich and land both record kinds, and their counts in a tree of their own."""
+    """Enrich and land all records of both kinds, and their counts in a tree of their own."""
     for rows, schema, data_type in (
-        (cap_per_faculty(authors, MAX_AUTHORS_PER_FACULTY), schemas.AUTHOR, "authors"),
-        (publications(cap_per_faculty(works, MAX_WORKS_PER_FACULTY), run_ts), schemas.PUBLICATION, "publications"),
+        (authors, schemas.AUTHOR, "authors"),
+        (publications(works, run_ts), schemas.PUBLICATION, "publications"),
     ):
-        kept = cut(rows)
-        land(kept, schema.names, root, data_type, run_ts)
-        counts = batch_counts(kept, data_type, run_ts)
+        land(rows, schema.names, root, data_type, run_ts)
+        counts = batch_counts(rows, data_type, run_ts)
         land(counts, counts.columns, sidecar_root, data_type, run_ts)

@@ -10,7 +10,7 @@ from quadrangle.sinks.files import land_json
 def log_rows(entries):
     """Entries (ts, level, message, university, faculty, source) as log rows.
 
-    Adds `log_timestamp` for the sidecar and `object_path`, where an entry is stored.
+    Adds `object_path`, where an entry is stored.
     """
     shaped = entries.select(
         "ts",
@@ -26,11 +26,22 @@ def log_rows(entries):
         F.lit("university="), "university", F.lit("/faculty="), "faculty", F.lit("/"),
         day_path(F.col("ts")), F.lit("/log_"), short_checksum(content), F.lit(".json"),
     )
-    return shaped.withColumn("object_path", path).withColumn("log_timestamp", F.col("timestamp")).drop("ts")
+    return shaped.withColumn("object_path", path).drop("ts")
 
 
-def write(rows, root):
-    """Append log rows below university, faculty and day."""
+def sidecars(rows):
+    """The metadata row of each log row, with the path of the object it describes."""
+    return rows.select(
+        F.col("object_path"), "source", "university", "faculty", F.col("timestamp").alias("log_timestamp"), "level"
+    )
+
+
+def write(rows, root, sidecar_root, batch):
+    """Land log rows, and their metadata rows in a tree of their own, below university,
+    faculty, day and `batch`, a name for the rows of one call.
+
+    A batch written again replaces itself. Entries are meant to be gathered: one call
+    writes any number of them."""
     day = F.to_date(F.substring("timestamp", 1, 10))
     folders = {
         "university": F.col("university"),
@@ -38,30 +49,8 @@ def write(rows, root):
         "year": F.date_format(day, "yyyy"),
         "month": F.date_format(day, "MM"),
         "day": F.date_format(day, "dd"),
+        "batch": F.lit(batch),
     }
     land_json(rows, schemas.LOG.names, folders, root)
-
-
-def log(spark, root, level, message, university, faculty, ts, source=None):
-    """Append one entry. Many entries belong into one `log_rows` and `write`."""
-    entry = spark.createDataFrame(
-        [(ts, level, message, university, faculty, source)],
-        "ts timestamp, level string, message string, university string, faculty string, source string",
-    )
-    write(log_rows(entry), root)
-
-
-def info(spark, root, message, university, faculty, ts, source=None):
-    log(spark, root, "info", message, university, faculty, ts, source)
-
-
-def warning(spark, root, message, university, faculty, ts, source=None):
-    log(spark, root, "warning", message, university, faculty, ts, source)
-
-
-def error(spark, root, message, university, faculty, ts, source=None):
-    log(spark, root, "error", message, university, faculty, ts, source)
-
-
-def debug(spark, root, message, university, faculty, ts, source=None):
-    log(spark, root, "debug", message, university, faculty, ts, source)
+    stamped = {**folders, **{n: F.date_format(F.to_date(F.substring("log_timestamp", 1, 10)), f) for n, f in (("year", "yyyy"), ("month", "MM"), ("day", "dd"))}}
+    land_json(sidecars(rows), schemas.LOG_SIDECAR.names, stamped, sidecar_root)

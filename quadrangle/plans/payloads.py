@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 from quadrangle import schemas
 from quadrangle.constants import DOCUMENT_BUCKET, EXTRACTION_TYPE, TEXT_BUCKET
 from quadrangle.functions.text import iso_timestamp, json_extension, text_or_empty
-from quadrangle.operators.concat import PAGES_PER_PART, join_pages
+from quadrangle.operators.concat import join_pages
+from quadrangle.operators.latest import first_per_key
 from quadrangle.session import cut
 from quadrangle.sinks.files import land_json
 from quadrangle.sources.raw import not_sidecar
@@ -19,16 +20,13 @@ def document_kind(path):
 
 
 def payloads(documents, sidecars, run_ts):
-    """One payload per document with text, or per part of a very long one.
+    """One payload per document with text.
 
-    `documents`: path, text and, from `join_pages`, part. `sidecars`: object_path and
-    the manifest fields; a document without one gets empty metadata.
+    `documents`: path, text. `sidecars`: object_path and the manifest fields; a document
+    without one gets empty metadata.
     """
     path = F.col("path")
     target = json_extension(path)
-    if "part" in documents.columns:
-        numbered = F.concat(F.lit(".part"), F.col("part").cast("string"), F.lit(".json"))
-        target = F.when(F.col("part") > 0, F.concat(F.regexp_replace(target, r"\.json\z", ""), numbered)).otherwise(target)
     worded = documents.filter(
         not_sidecar(path) & document_kind(path).isNotNull() & (F.length("text") > 0)
     )
@@ -69,21 +67,31 @@ def extraction_counts(documents):
 
 
 def write(payload_rows, root):
-    """Land payloads below the university and faculty folders of their source path."""
+    """Land payloads below the university and faculty folders of their source path, and a
+    batch folder named from the time of extraction.
+
+    Writing a batch again replaces it; `newest` picks among the batches."""
     source = F.col("metadata.source_path")
     folders = {
         name: F.regexp_extract(source, rf"(?:^|/){name}=([^/]+)/", 1) for name in ("university", "faculty")
     }
+    stamp = F.regexp_replace("metadata.extract_timestamp", "[^0-9]", "")
+    folders["batch"] = F.concat(F.substring(stamp, 1, 8), F.lit("_"), F.substring(stamp, 9, 12))
     land_json(payload_rows, schemas.PAYLOAD.names, folders, root)
 
 
-def run(page_texts, sidecars, root, run_ts, pages_per_part=PAGES_PER_PART):
+def newest(payload_rows):
+    """The latest extraction of every source object."""
+    order = [F.desc_nulls_last("metadata.extract_timestamp"), F.asc_nulls_last("metadata.content_checksum")]
+    return first_per_key(payload_rows, ["metadata.source_path"], order)
+
+
+def run(page_texts, sidecars, root, run_ts):
     """Join page texts per document, build the payloads, land them; returns the counts.
 
     `page_texts`: path, page_no, text. Texts are assembled once; the counts read only
     paths and lengths of the assembled table.
     """
-    joined = join_pages(page_texts, ["path"], pages_per_part=pages_per_part)
-    documents = cut(joined.withColumn("n_chars", F.length("text")))
+    documents = cut(join_pages(page_texts, ["path"]).withColumn("n_chars", F.length("text")))
     write(payloads(documents, sidecars, run_ts), root)
-    return extraction_counts(documents.groupBy("path").agg(F.max("n_chars").alias("n_chars")))
+    return extraction_counts(documents)

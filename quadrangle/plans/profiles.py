@@ -1,6 +1,5 @@
 """Raw authors -> faculty profiles."""
 
-from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from quadrangle import schemas
@@ -79,16 +78,12 @@ def resolved_folders(spark, root, pairs, subfolder=""):
 def run(spark, root, table_path, pairs, run_ts=None, multi_line=False):
     """Build and upsert the profiles of all requested faculties in one go.
 
-    Returns raw and clean row counts, observed while the batch is written (a task that
-    had to run again may be counted again).
+    Returns the raw rows, counted over keys alone, and the rows of the upserted batch.
     """
     folders = resolved_folders(spark, root, pairs, "type=authors")
     found = [(university, faculty) for university, faculty, _ in folders]
     authors = read_authors(spark, root, found, multi_line) if found else None
     if authors is None or authors.isEmpty():
         return {"raw": 0, "clean": 0}
-    raw, clean = Observation(), Observation()
-    counted = authors.observe(raw, F.count(F.lit(1)).alias("rows"))
-    profiles = faculty_profiles(counted, run_ts if run_ts is not None else F.current_timestamp())
-    upsert(profiles.observe(clean, F.count(F.lit(1)).alias("rows")), table_path)
-    return {"raw": raw.get["rows"], "clean": clean.get["rows"]}
+    clean = upsert(faculty_profiles(authors, run_ts if run_ts is not None else F.current_timestamp()), table_path)
+    return {"raw": row_counts(authors).first().raw_rows, "clean": clean}

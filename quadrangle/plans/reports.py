@@ -48,11 +48,11 @@ def _rows_per(view, key, name):
 
 
 def staff_per_faculty(view):
-    return _rows_per(view, "faculty", "nb_profs").orderBy(F.desc("nb_profs"))
+    return _rows_per(view, "faculty", "nb_profs").orderBy(F.desc("nb_profs"), "faculty")
 
 
 def courses_per_level(view):
-    return _rows_per(view, "level", "nb_cours").orderBy(F.desc("nb_cours"))
+    return _rows_per(view, "level", "nb_cours").orderBy(F.desc("nb_cours"), "level")
 
 
 def staff_per_university(view):
@@ -61,4 +61,4 @@ def staff_per_university(view):
 
 def publications_per_university(view):
     total = F.sum("publications_count").alias("total_publications")
-    return view.groupBy("university").agg(total).orderBy(F.desc("total_publications"))
+    return view.groupBy("university").agg(total).orderBy(F.desc("total_publications"), "university")

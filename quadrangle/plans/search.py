@@ -3,16 +3,18 @@
 from pyspark.sql import functions as F
 
 from quadrangle import schemas
-from quadrangle.constants import BUCKETS, SEARCH_CONTENT_CHARS
+from quadrangle.constants import BUCKETS
 from quadrangle.operators.upsert import upsert
 from quadrangle.sources.raw import read_html_objects
 
 
-def search_documents(objects, run_ts):
-    """`objects`: object_name, html, university, faculty. Mapped fields without a source are NULL."""
+def search_documents(objects, run_ts, content_chars=None):
+    """`objects`: object_name, html, university, faculty. Mapped fields without a source are NULL.
+
+    The whole text is kept; `content_chars` asks for a preview of that length instead."""
     filled = objects.select(
         F.md5("object_name").alias("record_id"),
-        F.substring("html", 1, SEARCH_CONTENT_CHARS).alias("content"),
+        (F.col("html") if content_chars is None else F.substring("html", 1, content_chars)).alias("content"),
         "university",
         "faculty",
         F.lit("html").alias("file_type"),

@@ -53,6 +53,8 @@ PAYLOAD = _struct(
 
 LOG = _struct(timestamp=S, level=S, message=S, university=S, faculty=S, source=S)
 
+LOG_SIDECAR = _struct(object_path=S, source=S, university=S, faculty=S, log_timestamp=S, level=S)
+
 PROFILE = _struct(
     author_id=S, full_name=S, orcid=S, works_count=L, cited_by_count=L, institution_name=S,
     university=S, faculty=S, source_system=S, record_id=S, business_timestamp=T,

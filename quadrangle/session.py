@@ -1,6 +1,5 @@
 """Session defaults and the shared scratch folder."""
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -39,7 +38,7 @@ def build_session(app_name="quadrangle", input_bytes=None):
 def shared_dir(spark):
     """Folder every executor can reach, as named by `spark.checkpoint.dir`.
 
-    Only a local master may fall back to a temporary folder.
+    There is no other: on any master the folder must be named.
     """
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
@@ -49,10 +48,7 @@ def shared_dir(spark):
             context.setCheckpointDir(named)
         return named.rstrip("/")
     if current is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
-        current = context.getCheckpointDir()
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     return current.rstrip("/")
 
 

@@ -3,8 +3,9 @@
 from pyspark.sql import functions as F
 
 
-def land_json(df, fields, folders, path, mode="append"):
-    """Write `fields` as JSON Lines below the folders given as {name: column}.
+def land_json(df, fields, folders, path):
+    """Write `fields` as JSON Lines below the folders given as {name: column}; a folder that
+    gets rows is replaced as a whole, all others stay.
 
     The record keeps fields that share a name with a folder, and NULL fields. The
     rebalance gives each folder few, evenly sized files: small folders share a task,
@@ -15,12 +16,8 @@ def land_json(df, fields, folders, path, mode="append"):
     placed = placed.withColumnsRenamed({f"_{name}": name for name in folders})
     (
         placed.hint("rebalance", *folders)
-        .write.mode(mode)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*folders)
         .text(path)
     )
-
-
-def append_table(df, path, partitions=("university", "faculty")):
-    """Append rows as Parquet below `partitions`."""
-    df.hint("rebalance", *partitions).write.mode("append").partitionBy(*partitions).parquet(path)

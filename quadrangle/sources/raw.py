@@ -6,7 +6,7 @@ from quadrangle import schemas
 from quadrangle.constants import SIDECAR_SUFFIX
 from quadrangle.functions.text import lossy_utf8
 
-_DAY = ("year", "month", "day")
+_DAY = ("year", "month", "day", "batch")
 
 
 def _decoded(text):
@@ -34,19 +34,41 @@ def pair_filter(pairs):
     return F.struct("university", "faculty").isin([F.struct(F.lit(u), F.lit(f)) for u, f in pairs])
 
 
-def _below(root, pairs):
-    """The root, or the folders of the given (university, faculty) pairs."""
-    return root if pairs is None else [f"{root}/university={u}/faculty={f}" for u, f in pairs]
+_OBJECT = "path string, modificationTime timestamp, length long, content binary"
+
+
+def _relative(path):
+    """Path of an object within its bucket; as it is where it lies in no university's folder."""
+    inside = F.regexp_extract(path, r"(?:\A|/)(university=.*)\z", 1)
+    return F.when(inside != "", inside).otherwise(path)
+
+
+def _objects(spark, root, pairs=None):
+    """Objects below the root, or of the given (university, faculty) pairs, a list or a
+    table; a pair or root that is not stored has none."""
+    paths = root
+    if pairs is not None:
+        wanted = spark.createDataFrame(pairs, "university string, faculty string") if isinstance(pairs, list) else pairs
+        stored = stored_partitions(spark, root).join(wanted, ["university", "faculty"], "left_semi")
+        paths = [row.path for row in stored.select("path").distinct().collect()]
+    elif not _exists(spark, root):
+        paths = []
+    if not paths:
+        return spark.createDataFrame([], _OBJECT)
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(paths)
+
+
+def _exists(spark, root):
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(root)
+    return path.getFileSystem(context._jsc.hadoopConfiguration()).exists(path)
 
 
 def list_objects(spark, root, pairs=None):
-    """path, length and the university and faculty in the path; file contents stay unread."""
-    listing = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(_below(root, pairs))
-        .select("path", "length")
-    )
-    return listing.select(
-        "path",
+    """path within the bucket, length, and the university and faculty in the path; file
+    contents stay unread."""
+    return _objects(spark, root, pairs).select(
+        _relative(F.col("path")).alias("path"),
         "length",
         _folder_value(F.col("path"), "university").alias("university"),
         _folder_value(F.col("path"), "faculty").alias("faculty"),
@@ -108,7 +130,7 @@ def read_payloads(spark, paths, multi_line=False):
 
 
 def read_sidecars(spark, root, schema=schemas.MANIFEST):
-    """Sidecar metadata with the path of the object it belongs to."""
+    """Sidecar metadata with the path, within the bucket, of the object it belongs to."""
     scan = (
         spark.read.schema(schema)
         .option("multiLine", "true")
@@ -116,19 +138,25 @@ def read_sidecars(spark, root, schema=schemas.MANIFEST):
         .option("pathGlobFilter", f"*{SIDECAR_SUFFIX}")
         .json(root)
     )
-    object_path = F.regexp_replace(_scan_path(), r"\.meta\.json\z", "")
+    object_path = F.regexp_replace(_relative(_scan_path()), r"\.meta\.json\z", "")
     return scan.select(object_path.alias("object_path"), *schema.names)
 
 
 def read_html_objects(spark, root, pairs=None):
     """HTML objects as text, bytes that are not UTF-8 left out."""
     return (
-        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(_below(root, pairs))
+        _objects(spark, root, pairs)
         .filter(not_sidecar(F.col("path")))
         .select(
             _folder_value(F.col("path"), "university").alias("university"),
             _folder_value(F.col("path"), "faculty").alias("faculty"),
-            F.regexp_extract("path", r"(university=.*)\z", 1).alias("object_name"),
+            _relative(F.col("path")).alias("object_name"),
             lossy_utf8(F.col("content")).alias("html"),
         )
     )
+
+
+def read_stored_pages(spark, root):
+    """url, html and crawl_timestamp of stored HTML objects that have a sidecar."""
+    described = read_sidecars(spark, root).select(F.col("object_path").alias("object_name"), F.col("source_url").alias("url"), "crawl_timestamp")
+    return read_html_objects(spark, root).join(described, "object_name").select("url", "html", "crawl_timestamp")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from quadrangle import schemas
 from quadrangle.plans import courses, crawl, landing, logs, payloads, profiles, reports, search
+from quadrangle.operators.upsert import read_table
 from quadrangle.sinks.tables import append_to_table, create_tables
 from quadrangle.sources import raw
 
@@ -103,6 +104,8 @@ COURSE_URLS = {
 def test_course_names(spark):
     rows = [({"source_url": url}, "t", "u", "f") for url in COURSE_URLS] + [({"source_url": None}, "t", "u", "f"), (None, "t", "u", "f")]
     df = spark.createDataFrame(rows, "metadata struct<source_url:string>, text string, university string, faculty string")
+    df = df.withColumn("metadata", F.when(F.col("metadata").isNotNull(), F.struct(
+        "metadata.source_url", F.lit("2024").alias("extract_timestamp"), F.lit("c").alias("content_checksum"))))
     built = courses.course_catalog(df, now()).collect()
     wanted = {v for v in COURSE_URLS.values() if v}
     assert {(r.course_name, r.raw_filename) for r in built} == wanted
@@ -125,7 +128,7 @@ def test_extraction_then_course_job(spark, folder):
     assert sorted(os.path.basename(r.path) for r in listed) == sorted(names)
     assert {(r.university, r.faculty, r.length) for r in listed} == {("hassan2", "SCI1", 7)}
 
-    sidecars = raw.read_sidecars(spark, docs).withColumn("object_path", F.regexp_extract("object_path", r"(university=.*)", 1))
+    sidecars = raw.read_sidecars(spark, docs)
     assert sidecars.count() == 3
     pages = spark.createDataFrame(
         [(f"{base}/a.pdf", 1, "second "), (f"{base}/a.pdf", 0, " first"), (f"{base}/b.docx", 0, "para"),
@@ -151,14 +154,13 @@ def test_extraction_then_course_job(spark, folder):
     assert len(courses.preview(spark.read.parquet(table)).collect()) == 2
 
 
-def test_a_very_long_document_continues_in_further_payloads(spark, folder):
-    pages = spark.createDataFrame([("university=u/faculty=f/a.pdf", i, f"p{i}") for i in range(7)], "path string, page_no long, text string")
+def test_a_document_of_many_pages_is_one_payload(spark, folder):
+    pages = spark.range(0, 120_000).selectExpr("'university=u/faculty=f/a.pdf' AS path", "id AS page_no", "concat('p', id) AS text")
     no_sidecars = spark.createDataFrame([], schemas.with_partitions(schemas.MANIFEST, "object_path"))
-    counts = payloads.run(pages, no_sidecars, f"{folder}/r", now(), pages_per_part=3).first()
+    counts = payloads.run(pages, no_sidecars, f"{folder}/r", now()).first()
     assert counts.asDict() == {"pdf": 1, "docx": 0, "skipped": 0, "errors": 0}
-    rows = {r.metadata.storage_path: r.text for r in raw.read_payloads(spark, f"{folder}/r").collect()}
-    base = "s3://raw-json/university=u/faculty=f/a"
-    assert rows == {f"{base}.json": "p0\np1\np2", f"{base}.part1.json": "p3\np4\np5", f"{base}.part2.json": "p6"}
+    rows = raw.read_payloads(spark, f"{folder}/r").collect()
+    assert [r.text for r in rows] == ["\n".join(f"p{i}" for i in range(120_000))]
 
 
 def test_payloads_as_single_objects(spark, folder):
@@ -210,10 +212,11 @@ def test_landing_job(spark, folder):
     )
     root, sidecars = f"{folder}/raw-json", f"{folder}/raw-json-meta"
     landing.run(authors, works, root, sidecars, now())
+    landing.run(authors, works, root, sidecars, now())  # a batch landed again replaces itself
     landed = raw.read_authors(spark, root, [("hassan_ii", "SCI1")])
-    assert landed.count() == 500 and landed.agg(F.max("id")).first()[0] == "A0499"
+    assert landed.count() == 505
     publications = spark.read.schema(schemas.PUBLICATION).json(
-        f"{root}/university=hassan_ii/faculty=SCI1/type=publications/year=2024/month=06/day=01"
+        f"{root}/university=hassan_ii/faculty=SCI1/type=publications/year=2024/month=06/day=01/batch=20240601_083000"
     )
     rows = {r.work_id: r for r in publications.collect()}
     one = rows["https://h/W1"]
@@ -223,16 +226,20 @@ def test_landing_job(spark, folder):
     assert '"doi":null' in raw_line
     counts = spark.read.schema(schemas.LANDING_SIDECAR).option("recursiveFileLookup", "true").json(sidecars).collect()
     assert sorted((r.data_type, r.records_count, r.university, r.source) for r in counts) == [
-        ("authors", 500, "Hassan II", "openalex"), ("publications", 2, "Hassan II", "openalex")]
+        ("authors", 505, "Hassan II", "openalex"), ("publications", 2, "Hassan II", "openalex")]
 
 
 def test_logs(spark, folder):
     root = f"{folder}/raw-logs"
     stamp = datetime(2024, 6, 1, 8, 30, 0, 5)
-    for write in (logs.info, logs.warning, logs.error, logs.debug):
-        write(spark, root, 'say "é"', "u", "f", stamp, "job")
-    logs.info(spark, root, "m", "u", "f", stamp)
-    rows = spark.read.schema(schemas.LOG).json(f"{root}/university=u/faculty=f/year=2024/month=06/day=01").collect()
+    fields = "ts timestamp, level string, message string, university string, faculty string, source string"
+    entries = [(stamp, level, 'say "é"', "u", "f", "job") for level in ("info", "warning", "error", "debug")] + [(stamp, "info", "m", "u", "f", None)]
+    for _ in range(2):
+        logs.write(logs.log_rows(spark.createDataFrame(entries, fields)), root, f"{folder}/meta", "b1")
+    logs.write(logs.log_rows(spark.createDataFrame([], fields)), root, f"{folder}/meta", "b2")
+    rows = spark.read.schema(schemas.LOG).json(f"{root}/university=u/faculty=f/year=2024/month=06/day=01/batch=b1").collect()
+    beside = spark.read.schema(schemas.LOG_SIDECAR).option("recursiveFileLookup", "true").json(f"{folder}/meta").collect()
+    assert sorted(r.level for r in beside) == sorted(r.level for r in rows) and {r.log_timestamp for r in beside} == {"2024-06-01T08:30:00.000005"}
     assert sorted(r.level for r in rows) == ["DEBUG", "ERROR", "INFO", "INFO", "WARNING"]
     assert {r.source for r in rows} == {"job", "unknown"}
     assert {r.timestamp for r in rows} == {"2024-06-01T08:30:00.000005"}
@@ -279,12 +286,39 @@ def test_search_job(spark, folder):
     search.run(spark, root, table, now())
     row = spark.read.schema(schemas.SEARCH_DOCUMENT).parquet(table).first()
     assert row.record_id == hashlib.md5(name.encode()).hexdigest()
-    assert row.content.startswith("<p>café</p>") and len(row.content) == 10000
+    assert row.content.startswith("<p>café</p>") and len(row.content) == 20011
     assert (row.storage_path, row.university, row.faculty) == (f"s3://raw-web-html/{name}", "hassan2", "F S")
     put(f"{root}/{name}", b"new")
     put(f"{root}/university=other/faculty=X/q.html", b"not asked for")
-    search.run(spark, root, table, F.lit("2024-06-02 00:00:00").cast("timestamp"), [("hassan2", "F S")])
+    search.run(spark, root, table, F.lit("2024-06-02 00:00:00").cast("timestamp"), [("hassan2", "F S"), ("stored", "nowhere")])
     assert [r.content for r in spark.read.parquet(table).collect()] == ["new"]
+    assert raw.read_html_objects(spark, root, [("stored", "nowhere")]).count() == 0
+    assert raw.list_objects(spark, f"{folder}/no-such-bucket").count() == 0
+
+
+def test_stored_pages_in_their_newest_copy(spark, folder):
+    root = f"{folder}/raw-web-html"
+    for day, html in (("01", "old"), ("02", "new")):
+        name = f"university=u/faculty=f/year=2024/month=06/day={day}/p.html"
+        put(f"{root}/{name}", html)
+        put(f"{root}/{name}.meta.json", json.dumps({"source_url": "https://h/", "crawl_timestamp": f"2024-06-{day}T00:00:00"}))
+    put(f"{root}/university=u/faculty=f/year=2024/month=06/day=01/lost.html", "no sidecar")
+    pages = raw.read_stored_pages(spark, root)
+    assert pages.count() == 2
+    assert [tuple(r) for r in crawl.newest_pages(pages).collect()] == [("https://h/", "new")]
+
+
+def test_course_shows_the_text_extracted_last(spark, folder):
+    pages = spark.createDataFrame([("university=u/faculty=f/a.pdf", 0, "z old")], "path string, page_no long, text string")
+    sidecars = spark.createDataFrame([("university=u/faculty=f/a.pdf", "https://h/cursus/a.pdf", "u", "f", "2024")], "object_path string, source_url string, university string, faculty string, crawl_timestamp string")
+    root, table = f"{folder}/r", f"{folder}/t"
+    payloads.run(pages, sidecars, root, now())
+    assert courses.run(spark, root, table, [("u", "f")], now()) == {"raw": 1, "clean": 1}
+    for day in ("2024-06-02 00:00:00", "2024-06-02 00:00:00"):
+        payloads.run(pages.withColumn("text", F.lit("a new")), sidecars, root, F.lit(day).cast("timestamp"))
+    assert raw.read_payloads(spark, root).count() == 2
+    courses.run(spark, root, table, [("u", "f")], now())
+    assert [r.text_content for r in read_table(spark, table, schemas.COURSE).collect()] == ["a new"]
 
 
 def test_tables_and_reports_in_sql(spark, folder):

@@ -11,6 +11,7 @@ from quadrangle.operators.latest import cap_rows, first_per_key
 from quadrangle.operators.reach import reach, spread_hot_sources
 from quadrangle.operators.resolve import resolve_universities
 from quadrangle.operators.upsert import read_table, upsert
+from quadrangle.session import cut
 
 
 def test_first_per_key(spark):
@@ -102,13 +103,13 @@ def test_upsert(spark, folder):
     path = f"{folder}/t"
     first = _batch(spark, [("a", 1, DAYS[0], "u", "f"), ("a", 2, DAYS[1], "u", "f"), ("b", 3, DAYS[0], "u", "f"),
                            ("a", 4, DAYS[0], "u", "g"), ("c", 5, DAYS[0], "w x", "f=1")])
-    assert upsert(first, path) == 3
+    assert upsert(first, path) == 4  # rows put
     once = [("a", 2, "u", "f"), ("a", 4, "u", "g"), ("b", 3, "u", "f"), ("c", 5, "w x", "f=1")]
     assert _stored(spark, path) == once
     upsert(first, path)
     assert _stored(spark, path) == once
     # an older batch still replaces the stored row, new keys are added, others stay
-    assert upsert(_batch(spark, [("a", 9, DAYS[0], "u", "f"), ("d", 8, DAYS[0], "u", "f")]), path) == 1
+    assert upsert(_batch(spark, [("a", 9, DAYS[0], "u", "f"), ("d", 8, DAYS[0], "u", "f")]), path) == 2
     assert _stored(spark, path) == [("a", 4, "u", "g"), ("a", 9, "u", "f"), ("b", 3, "u", "f"), ("c", 5, "w x", "f=1"), ("d", 8, "u", "f")]
 
 
@@ -140,15 +141,31 @@ def test_upsert_rewrites_touched_partitions_only(spark, folder):
     assert len(kept) == 1 and "faculty=g" in kept.pop()
 
 
-def test_upsert_with_more_partitions_than_can_be_listed(spark, folder, monkeypatch):
+def test_a_one_key_batch_rewrites_one_folder(spark, folder):
     path = f"{folder}/t"
-    batch = _batch(spark, [(f"k{i}", i, DAYS[0], "u" if i else None, f"f{i}") for i in range(6)])
-    upsert(batch, path)
-    upsert(_batch(spark, [("other", 99, DAYS[0], None, "f0")]), path)
-    monkeypatch.setattr(upsert_module, "MAX_LISTED_PARTITIONS", 2)
-    assert upsert(batch.filter("v <> 1").withColumn("v", F.col("v") + 10), path) == 5
+    batch = _batch(spark, [(f"k{i}", i, DAYS[0], "u", "f") for i in range(300)])
+    assert upsert(batch, path, slots=8) == 300
+    files = lambda: {r.p for r in spark.read.parquet(path).select(F.input_file_name().alias("p")).distinct().collect()}
+    before = files()
+    assert upsert(_batch(spark, [("k7", 999, DAYS[1], "u", "f")]), path, slots=8) == 1
+    after = files()
+    assert len({p.rsplit("/", 1)[0] for p in before}) == 8
+    assert len({p.rsplit("/", 1)[0] for p in before - after}) == 1
     rows = spark.read.parquet(path).collect()
-    assert sorted(r.v for r in rows) == [1, 10, 12, 13, 14, 15, 99]
+    assert len(rows) == 300 and {r.v for r in rows if r.record_id == "k7"} == {999}
+
+
+def test_the_scan_of_an_upsert_is_pruned_to_the_batch(spark, folder):
+    path = f"{folder}/t"
+    batch = _batch(spark, [(f"k{i}", i, DAYS[0], "u" if i % 2 else None, f"f{i}") for i in range(600)]).repartition(2)
+    upsert(batch, path, slots=4)
+    small = _batch(spark, [("k1", 1, DAYS[0], "u", "f1")]).withColumn(upsert_module.SLOT, F.lit(3))
+    stored, staged = read_table(spark, path, small.schema), cut(small)
+    near = upsert_module.touched_rows(stored, staged, ("university", "faculty"))
+    plan = near._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan
+    assert upsert(batch.withColumn("v", F.col("v") + 10_000), path, slots=4) == 600
+    assert spark.read.parquet(path).agg(F.min("v"), F.count("*")).first()[:] == (10_000, 600)
 
 
 def test_a_missing_table_reads_as_empty(spark, folder):
@@ -159,16 +176,8 @@ def test_a_missing_table_reads_as_empty(spark, folder):
 def test_join_pages(spark):
     rows = [("d", 2, "two "), ("d", 0, "\n zero"), ("d", 1, ""), ("d", 10, "ten"), ("e", 0, None), ("e", 1, ""), ("f", 3, None), ("f", 0, "x")]
     df = spark.createDataFrame(rows, "path string, page_no long, text string")
-    got = {(r.path, r.part): r.text for r in join_pages(df, ["path"]).collect()}
-    assert got == {("d", 0): "zero\ntwo \nten", ("e", 0): "", ("f", 0): "x"}
-
-
-def test_long_documents_continue_in_parts(spark):
-    rows = [("d", i, f"p{i}") for i in range(25)]
-    df = spark.createDataFrame(rows, "path string, page_no long, text string").repartition(4)
-    parts = join_pages(df, ["path"], pages_per_part=10).orderBy("part").collect()
-    assert [r.part for r in parts] == [0, 1, 2]
-    assert "\n".join(r.text for r in parts) == "\n".join(f"p{i}" for i in range(25))
+    got = {r.path: r.text for r in join_pages(df, ["path"]).collect()}
+    assert got == {"d": "zero\ntwo \nten", "e": "", "f": "x"}
 
 
 def test_resolve(spark):

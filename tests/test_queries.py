@@ -26,5 +26,17 @@ def test_matches_sql(name, spark, sf_dir, con):
     assert spark_rows(df) == sql_rows(con, sql)
 
 
+@pytest.mark.parametrize("name, count, key", [
+    ("report_staff_per_faculty", "nb_profs", "faculty"),
+    ("report_courses_per_level", "nb_cours", "level"),
+    ("report_publications_per_university", "total_publications", "university"),
+])
+def test_reports_come_in_order(name, count, key, spark):
+    """Highest first, then by the group's name, groups without a name first."""
+    rows = [(r[count], r[key]) for r in QUERIES[name](spark, "/root/testdata/sf0.01").collect()]
+    assert len(rows) > 1
+    assert rows == sorted(rows, key=lambda r: (-(r[0] or 0), r[1] is not None, r[1] or ""))
+
+
 def test_entry(spark):
     assert entry_points.entry(spark).columns == ["university", "total_publications"]

@@ -1,8 +1,7 @@
-import os
-
 import pytest
 
 from quadrangle import session
+from workload.trial import ensure_scratch
 
 
 def test_shuffle_partitions_grow_with_the_input():
@@ -46,12 +45,14 @@ class _Session:
         self.conf, self.sparkContext = _Conf(), _Context(master)
 
 
-def test_a_cluster_needs_a_named_folder():
+@pytest.mark.parametrize("master", ["spark://host:7077", "local-cluster[2,1,1024]", "local[2]", "local"])
+def test_every_master_needs_a_named_folder(master):
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        session.shared_dir(_Session("spark://host:7077"))
+        session.shared_dir(_Session(master))
 
 
-def test_a_local_master_may_use_a_new_folder():
-    local = _Session("local[2]")
-    folder = session.shared_dir(local)
-    assert os.path.isdir(folder) and session.shared_dir(local) == folder
+@pytest.mark.parametrize("master, named", [("local[2]", True), ("local", True), ("local-cluster[2,1,1024]", False), ("yarn", False)])
+def test_trials_on_one_machine_get_a_folder(master, named):
+    trial = _Session(master)
+    ensure_scratch(trial)
+    assert (trial.sparkContext.getCheckpointDir() is not None) == named

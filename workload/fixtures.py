@@ -76,10 +76,20 @@ def _course_url():
     return url
 
 
+def _course_metadata():
+    """Source URL, a day of extraction that varies, and a stand-in for the checksum."""
+    day = F.lpad((1 + _mod("doc_id", 28)).cast("string"), 2, "0")
+    return F.struct(
+        _course_url().alias("source_url"),
+        F.concat(F.lit("2024-05-"), day).alias("extract_timestamp"),
+        F.md5(F.col("doc_id").cast("string")).alias("content_checksum"),
+    ).alias("metadata")
+
+
 def course_payloads(spark, sf_dir):
     """extracted payloads of course and other documents."""
     return table(spark, sf_dir, "documents").select(
-        F.struct(_course_url().alias("source_url")).alias("metadata"),
+        _course_metadata(),
         "text",
         F.col("source").alias("university"),
         F.col("lang").alias("faculty"),
@@ -90,7 +100,7 @@ def later_course_payloads(spark, sf_dir):
     """The labelled documents again, with their labels as text."""
     labelled = table(spark, sf_dir, "documents").join(table(spark, sf_dir, "labels"), "doc_id")
     return labelled.select(
-        F.struct(_course_url().alias("source_url")).alias("metadata"),
+        _course_metadata(),
         F.concat_ws(" ", F.lit("label"), F.col("quality").cast("string"), F.col("toxic").cast("string")).alias("text"),
         F.col("source").alias("university"),
         F.col("lang").alias("faculty"),

@@ -49,10 +49,11 @@ _URL_OF_DOC = """CASE doc_id % 8
         WHEN 5 THEN 'https://h/programme.pdf?x=' || doc_id
         WHEN 6 THEN 'https://h/news/' || doc_id || '.pdf' END"""
 
-_PAYLOADS = f"SELECT {_URL_OF_DOC} AS url, text, source AS university, lang AS faculty FROM documents"
+_EXTRACTED = "1 + doc_id % 28 AS extracted, md5(CAST(doc_id AS VARCHAR)) AS checksum"
+_PAYLOADS = f"SELECT {_URL_OF_DOC} AS url, text, source AS university, lang AS faculty, {_EXTRACTED} FROM documents"
 _LATER_PAYLOADS = f"""
     SELECT {_URL_OF_DOC} AS url, 'label ' || quality || ' ' || toxic AS text,
-           source AS university, lang AS faculty
+           source AS university, lang AS faculty, {_EXTRACTED}
     FROM documents JOIN labels USING (doc_id)"""
 
 _IS_COURSE = "regexp_matches(lower(url), 'formation|filiere|filière|programme|cursus')"
@@ -68,7 +69,7 @@ def _courses(payloads, stamp):
           FROM (SELECT *, regexp_extract(url, '([^/]+)\\.pdf$', 1) AS stem
                 FROM ({payloads}) WHERE {_IS_COURSE}))
     QUALIFY row_number() OVER (
-        PARTITION BY university, faculty, stem ORDER BY url, text NULLS LAST) = 1"""
+        PARTITION BY university, faculty, stem ORDER BY url, extracted DESC, checksum) = 1"""
 
 
 _COURSES = _courses(_PAYLOADS, _STAMP)
@@ -208,6 +209,8 @@ _PAYLOAD_ROWS = f"""
            's3://raw-json/' || stem || '.json' AS storage_path, text, source, lang
     FROM ({_DOCUMENTS}) WHERE ending <> '.document' AND text <> ''"""
 
+_STRIPPED = r"regexp_replace(text, '^\s+|\s+$', '', 'g')"
+
 _LOG = """
     SELECT strftime(ts, '%Y-%m-%dT%H:%M:%S') ||
                CASE WHEN microsecond(ts) % 1000000 = 0 THEN '' ELSE strftime(ts, '.%f') END AS timestamp,
@@ -219,7 +222,7 @@ _LOG = """
 
 def _documents(pages, url, html, stamp):
     return f"""
-    SELECT md5(name) AS record_id, CAST(NULL AS VARCHAR) AS title, substring(body, 1, 10000) AS content,
+    SELECT md5(name) AS record_id, CAST(NULL AS VARCHAR) AS title, body AS content,
            university, faculty, 'html' AS file_type, CAST(NULL AS VARCHAR) AS language,
            CAST(NULL AS VARCHAR) AS source_url, CAST(NULL AS INTEGER) AS depth_level,
            {stamp} AS crawl_timestamp, CAST(NULL AS VARCHAR) AS content_checksum,
@@ -276,9 +279,37 @@ ORACLES = {
     "course_catalog": _COURSES,
     "job_counts": f"""
         SELECT 'faculty_profiles' AS job, (SELECT count(*) FROM ({_AUTHORS})) AS raw_rows,
-               (SELECT count(*) FROM ({_PROFILES})) AS clean_rows
+               (SELECT count(*) FROM ({_PROFILES})) AS clean_rows, (SELECT count(*) FROM ({_PROFILES})) AS stored_rows
+        UNION ALL
+        SELECT 'course_catalog', (SELECT count(*) FROM documents), (SELECT count(*) FROM ({_COURSES})),
+               (SELECT count(*) FROM ({_COURSES}))""",
+    "job_profiles": f"SELECT * REPLACE (replace(lower(university), ' ', '_') AS university) FROM ({_PROFILES})",
+    "job_courses": _COURSES,
+    "job_landing": f"""
+        SELECT 'openalex' AS source, university, faculty, 'authors' AS data_type,
+               {_ISO} AS crawl_timestamp, count(*) AS records_count
+        FROM ({_AUTHORS}) GROUP BY university, faculty
         UNION ALL
-        SELECT 'course_catalog', (SELECT count(*) FROM documents), (SELECT count(*) FROM ({_COURSES}))""",
+        SELECT 'openalex', university, faculty, 'publications', {_ISO}, count(*)
+        FROM ({_WORKS}) GROUP BY university, faculty""",
+    "job_payloads": f"""
+        SELECT source_path, source_url, {_STRIPPED} AS text, source AS university, lang AS faculty
+        FROM ({_PAYLOAD_ROWS}) WHERE {_STRIPPED} <> ''""",
+    "job_crawl": f"""
+        SELECT *, html + pdf + image + json + document AS manifest_rows FROM ({_WALK})""",
+    "landing_rerun": f"{_PUBLICATIONS} FROM ({_WORKS})",
+    "manifest_rerun": _MANIFEST,
+    "payload_reextract": f"""
+        SELECT source_path, md5(text || ' changed') AS content_checksum, text || ' changed' AS text
+        FROM ({_PAYLOAD_ROWS})""",
+    "log_sidecars": f"""
+        SELECT 'university=' || university || '/faculty=' || faculty ||
+                   strftime(ts, '/year=%Y/month=%m/day=%d/log_') || md5(body)[1:8] || '.json' AS object_path,
+               source, university, faculty, timestamp AS log_timestamp, level
+        FROM (SELECT *, '{{"timestamp": "' || timestamp || '", "level": "' || level || '", "message": "' ||
+                     replace(message, '"', '\\"') || '", "university": "' || university ||
+                     '", "faculty": "' || faculty || '", "source": "' || source || '"}}' AS body
+              FROM ({_LOG}))""",
     "preview_topn": f"""
         SELECT full_name, works_count, cited_by_count, faculty FROM ({_PROFILES})
         ORDER BY full_name, faculty, works_count, cited_by_count LIMIT 10""",
@@ -294,13 +325,11 @@ ORACLES = {
                {_ISO} AS crawl_timestamp, count(*) AS records_count
         FROM ({_WORKS}) GROUP BY university, faculty""",
     "landing_roundtrip": f"""
-        {_PUBLICATIONS}, 'type=publications/year=2024/month=06/day=01' AS folder
-        FROM (SELECT * FROM ({_WORKS})
-              QUALIFY row_number() OVER (PARTITION BY university, faculty ORDER BY id, display_name) <= 5000)""",
+        {_PUBLICATIONS}, 'type=publications/year=2024/month=06/day=01/batch=20240601_083000' AS folder FROM ({_WORKS})""",
     "author_scan_roundtrip": f"""
         SELECT id, display_name, orcid, works_count, cited_by_count, institution_name,
                replace(lower(university), ' ', '_') AS university, faculty,
-               '2024' AS year, '06' AS month, '01' AS day, 'authors' AS type
+               '2024' AS year, '06' AS month, '01' AS day, '20240601_083000' AS batch, 'authors' AS type
         FROM ({_AUTHORS})""",
     "file_type_route": f"""
         SELECT url, file_type, {_BUCKET} AS bucket, file_type <> 'skip' AS is_fetched FROM ({_CRAWLED})""",
@@ -334,7 +363,7 @@ ORACLES = {
     "bounded_reach": _REACH,
     "crawl_walk": _WALK,
     "text_concat": """
-        SELECT conv_id, 0 AS part,
+        SELECT conv_id,
                regexp_replace(coalesce(string_agg(text, chr(10) ORDER BY turn) FILTER (text <> ''), ''),
                               '^\\s+|\\s+$', '', 'g') AS text
         FROM conversations GROUP BY conv_id""",
@@ -348,11 +377,13 @@ ORACLES = {
     "payload_scan_roundtrip": f"""
         SELECT source_path, source_url, content_checksum, text, source AS university, lang AS faculty
         FROM ({_PAYLOAD_ROWS})""",
-    "object_listing": f"SELECT DISTINCT source AS university, lang AS faculty FROM ({_PAYLOAD_ROWS})",
+    "object_listing": f"""
+        SELECT DISTINCT source AS university, lang AS faculty,
+               'university=' || source || '/faculty=' || lang || '/batch=20240602_094510000250' AS folder
+        FROM ({_PAYLOAD_ROWS})""",
     "log_rows": f"""
         SELECT * EXCLUDE (ts, body), 'university=' || university || '/faculty=' || faculty ||
-                   strftime(ts, '/year=%Y/month=%m/day=%d/log_') || md5(body)[1:8] || '.json' AS object_path,
-               timestamp AS log_timestamp
+                   strftime(ts, '/year=%Y/month=%m/day=%d/log_') || md5(body)[1:8] || '.json' AS object_path
         FROM (SELECT *, '{{"timestamp": "' || timestamp || '", "level": "' || level || '", "message": "' ||
                      replace(message, '"', '\\"') || '", "university": "' || university ||
                      '", "faculty": "' || faculty || '", "source": "' || source || '"}}' AS body

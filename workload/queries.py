@@ -5,7 +5,6 @@ import uuid
 from pyspark.sql import functions as F
 
 from quadrangle import schemas
-from quadrangle.constants import MAX_AUTHORS_PER_FACULTY, MAX_WORKS_PER_FACULTY
 from quadrangle.functions.text import last_segment, looks_dynamic, lossy_utf8
 from quadrangle.functions.urls import file_type, netloc
 from quadrangle.operators.concat import join_pages
@@ -13,10 +12,10 @@ from quadrangle.operators.latest import first_per_key
 from quadrangle.operators.links import allowed_link, page_links
 from quadrangle.operators.reach import reach
 from quadrangle.operators.resolve import resolve_universities
-from quadrangle.operators.upsert import upsert
+from quadrangle.operators.upsert import read_table, upsert
 from quadrangle.plans import courses, crawl, landing, logs, payloads, profiles, reports, search
-from quadrangle.session import scratch_path
-from quadrangle.sinks.files import append_table
+from quadrangle.session import cut, scratch_path
+from quadrangle.sinks.files import land_json
 from quadrangle.sinks.tables import append_to_table, create_tables
 from quadrangle.sources.raw import list_objects, read_authors, read_payloads
 from workload import fixtures as fx
@@ -62,21 +61,116 @@ def report_publications_per_university(spark, sf_dir):
 
 
 def course_keyword_filter(spark, sf_dir):
-    return courses.course_documents(fx.course_payloads(spark, sf_dir))
+    return courses.course_documents(fx.course_payloads(spark, sf_dir)).drop("extract_timestamp", "content_checksum")
 
 
 def course_catalog(spark, sf_dir):
     return _naive(_courses(spark, sf_dir), "business_timestamp")
 
 
+def _profile_job(spark, sf_dir):
+    """Land the authors, build their table; its path and the counts the job returns."""
+    root, path = scratch_path(spark, "raw-json"), scratch_path(spark, "faculty_profiles")
+    authors = fx.authors(spark, sf_dir)
+    landing.land(authors, schemas.AUTHOR.names, root, "authors", fx.instant())
+    pairs = [tuple(r) for r in authors.select("university", "faculty").distinct().collect()]
+    return path, profiles.run(spark, root, path, [*pairs, ("stored nowhere", "X")], fx.instant())
+
+
+def _course_job(spark, sf_dir):
+    """Land the payloads, build the course table; its path and the counts the job returns."""
+    root, path = scratch_path(spark, "raw-json"), scratch_path(spark, "course_catalog")
+    landed = fx.course_payloads(spark, sf_dir)
+    land_json(landed, ["metadata", "text"], {n: F.col(n) for n in ("university", "faculty")}, root)
+    pairs = [tuple(r) for r in landed.select("university", "faculty").distinct().collect()]
+    return path, courses.run(spark, root, path, pairs, fx.instant())
+
+
+def job_profiles(spark, sf_dir):
+    path, _ = _profile_job(spark, sf_dir)
+    return _naive(read_table(spark, path, schemas.PROFILE), "business_timestamp")
+
+
+def job_courses(spark, sf_dir):
+    path, _ = _course_job(spark, sf_dir)
+    return _naive(read_table(spark, path, schemas.COURSE), "business_timestamp")
+
+
 def job_counts(spark, sf_dir):
-    staff = profiles.row_counts(fx.authors(spark, sf_dir))
-    lessons = courses.row_counts(fx.course_payloads(spark, sf_dir))
-    return staff.select(F.lit("faculty_profiles").alias("job"), "*").union(
-        lessons.select(F.lit("course_catalog").alias("job"), "*")
+    """What the two jobs report, over the rows they stored."""
+    (staff, people), (lessons, texts) = _profile_job(spark, sf_dir), _course_job(spark, sf_dir)
+    rows = None
+    for job, path, schema, counts in (
+        ("faculty_profiles", staff, schemas.PROFILE, people), ("course_catalog", lessons, schemas.COURSE, texts)
+    ):
+        stored = read_table(spark, path, schema).agg(F.count(F.lit(1)).alias("stored_rows"))
+        one = stored.select(
+            F.lit(job).alias("job"), F.lit(counts["raw"]).cast("bigint").alias("raw_rows"),
+            F.lit(counts["clean"]).cast("bigint").alias("clean_rows"), "stored_rows",
+        )
+        rows = one if rows is None else rows.union(one)
+    return rows
+
+
+def job_landing(spark, sf_dir):
+    """Both record kinds landed by the job; the counts it leaves beside them."""
+    root, sidecars = scratch_path(spark, "raw-json"), scratch_path(spark, "raw-json-meta")
+    for _ in range(2):
+        landing.run(fx.authors(spark, sf_dir), fx.works(spark, sf_dir), root, sidecars, fx.instant())
+    counts = spark.read.schema(schemas.LANDING_SIDECAR).option("recursiveFileLookup", "true").json(sidecars)
+    return counts.select("source", "university", "faculty", "data_type", "crawl_timestamp", "records_count")
+
+
+def landing_rerun(spark, sf_dir):
+    """A batch landed twice is there once."""
+    root, sidecars = scratch_path(spark, "raw-json"), scratch_path(spark, "raw-json-meta")
+    for _ in range(2):
+        landing.run(fx.authors(spark, sf_dir), fx.works(spark, sf_dir), root, sidecars, fx.instant())
+    return spark.read.schema(schemas.PUBLICATION).option("pathGlobFilter", "*.txt").json(
+        f"{root}/university=*/faculty=*/type=publications/*/*/*/*"
     )
 
 
+def manifest_rerun(spark, sf_dir):
+    """A crawl stored twice has one manifest row per object."""
+    path = scratch_path(spark, "manifest")
+    for _ in range(2):
+        crawl.store_manifest(crawl.manifest(_fetched(spark, sf_dir), fx.instant()), path)
+    return read_table(spark, path, schemas.MANIFEST)
+
+
+def payload_reextract(spark, sf_dir):
+    """Texts extracted twice, then again with changes: one payload per object, the last."""
+    root = scratch_path(spark, "payloads")
+    for day, more in ((fx.DAY_ONE, ""), (fx.DAY_ONE, ""), (fx.DAY_TWO, " changed")):
+        payloads.write(_payloads(spark, sf_dir, day, more), root)
+    return payloads.newest(read_payloads(spark, root)).select("metadata.source_path", "metadata.content_checksum", "text")
+
+
+def job_payloads(spark, sf_dir):
+    """Page texts joined and landed by the job; the stored payloads."""
+    root = scratch_path(spark, "payloads")
+    pages = fx.stored_documents(spark, sf_dir).withColumn("page_no", F.lit(0))
+    payloads.run(pages, fx.document_sidecars(spark, sf_dir), root, fx.instant(fx.DAY_TWO))
+    return read_payloads(spark, root).select("metadata.source_path", "metadata.source_url", "text", "university", "faculty")
+
+
+def job_crawl(spark, sf_dir):
+    """The walk run by the job, twice; counters, and manifest rows per crawl."""
+    path = scratch_path(spark, "manifest")
+    for _ in range(2):
+        counts = crawl.run(fx.web_pages(spark, sf_dir), fx.web_seeds(spark, sf_dir), path, fx.instant())
+    stored = read_table(spark, path, schemas.MANIFEST).groupBy("university").agg(F.count(F.lit(1)).alias("manifest_rows"))
+    return counts.join(stored, "university", "left")
+
+
+def log_sidecars(spark, sf_dir):
+    """The metadata rows written beside the log entries."""
+    root, sidecars = scratch_path(spark, "logs"), scratch_path(spark, "logs-meta")
+    logs.write(logs.log_rows(fx.log_entries(spark, sf_dir)), root, sidecars, "day")
+    return spark.read.schema(schemas.LOG_SIDECAR).option("recursiveFileLookup", "true").json(sidecars)
+
+
 def preview_topn(spark, sf_dir):
     return profiles.preview(_profiles(spark, sf_dir))
 
@@ -91,7 +185,7 @@ def publication_enrich(spark, sf_dir):
 
 
 def cap_per_faculty(spark, sf_dir):
-    capped = landing.cap_per_faculty(fx.works(spark, sf_dir), MAX_AUTHORS_PER_FACULTY)
+    capped = landing.cap_per_faculty(fx.works(spark, sf_dir), 500)
     return capped.select("university", "faculty", "id", "display_name")
 
 
@@ -101,8 +195,7 @@ def batch_record_counts(spark, sf_dir):
 
 def landing_roundtrip(spark, sf_dir):
     root = scratch_path(spark, "landing")
-    capped = landing.cap_per_faculty(fx.works(spark, sf_dir), MAX_WORKS_PER_FACULTY)
-    rows = landing.publications(capped, fx.instant())
+    rows = landing.publications(fx.works(spark, sf_dir), fx.instant())
     landing.land(rows, schemas.PUBLICATION.names, root, "publications", fx.instant())
     landed = spark.read.schema(schemas.PUBLICATION).option("recursiveFileLookup", "true").json(root)
     folder = F.regexp_extract("_metadata.file_path", r"(type=.*)/[^/]+\z", 1)
@@ -133,8 +226,8 @@ def crawl_manifest(spark, sf_dir):
 
 def manifest_roundtrip(spark, sf_dir):
     path = scratch_path(spark, "manifest")
-    append_table(crawl.manifest(_fetched(spark, sf_dir), fx.instant()), path)
-    return spark.read.schema(schemas.MANIFEST).parquet(path)
+    crawl.store_manifest(crawl.manifest(_fetched(spark, sf_dir), fx.instant()), path)
+    return read_table(spark, path, schemas.MANIFEST)
 
 
 def crawl_stats(spark, sf_dir):
@@ -173,10 +266,9 @@ def text_concat(spark, sf_dir):
     return join_pages(fx.table(spark, sf_dir, "conversations"), ["conv_id"], page_no="turn")
 
 
-def _payloads(spark, sf_dir):
-    return payloads.payloads(
-        fx.stored_documents(spark, sf_dir), fx.document_sidecars(spark, sf_dir), fx.instant(fx.DAY_TWO)
-    )
+def _payloads(spark, sf_dir, run_ts=fx.DAY_TWO, more=""):
+    documents = fx.stored_documents(spark, sf_dir).withColumn("text", F.when(F.col("text") != "", F.concat("text", F.lit(more))).otherwise(F.col("text")))
+    return payloads.payloads(documents, fx.document_sidecars(spark, sf_dir), fx.instant(run_ts))
 
 
 def extraction_payload(spark, sf_dir):
@@ -199,7 +291,8 @@ def payload_scan_roundtrip(spark, sf_dir):
 def object_listing(spark, sf_dir):
     root = scratch_path(spark, "payloads")
     payloads.write(_payloads(spark, sf_dir), root)
-    return list_objects(spark, root).select("university", "faculty").distinct()
+    folder = F.regexp_replace("path", "/[^/]*$", "").alias("folder")
+    return list_objects(spark, root).where("length > 0").select("university", "faculty", folder).distinct()
 
 
 def log_rows(spark, sf_dir):
@@ -208,7 +301,7 @@ def log_rows(spark, sf_dir):
 
 def log_roundtrip(spark, sf_dir):
     root = scratch_path(spark, "logs")
-    logs.write(logs.log_rows(fx.log_entries(spark, sf_dir)), root)
+    logs.write(logs.log_rows(fx.log_entries(spark, sf_dir)), root, scratch_path(spark, "logs-meta"), "day")
     return spark.read.schema(schemas.LOG).option("recursiveFileLookup", "true").json(root)
 
 
@@ -238,7 +331,7 @@ def upsert_profiles(spark, sf_dir):
     path = scratch_path(spark, "faculty_profiles")
     upsert(_profiles(spark, sf_dir), path)
     upsert(profiles.faculty_profiles(fx.later_authors(spark, sf_dir), fx.instant(fx.DAY_TWO)), path)
-    stored = spark.read.schema(schemas.PROFILE).parquet(path)
+    stored = read_table(spark, path, schemas.PROFILE)
     return _naive(stored, "business_timestamp")
 
 
@@ -246,7 +339,7 @@ def upsert_courses(spark, sf_dir):
     path = scratch_path(spark, "course_catalog")
     upsert(_courses(spark, sf_dir), path)
     upsert(courses.course_catalog(fx.later_course_payloads(spark, sf_dir), fx.instant(fx.DAY_TWO)), path)
-    stored = spark.read.schema(schemas.COURSE).parquet(path)
+    stored = read_table(spark, path, schemas.COURSE)
     return _naive(stored, "business_timestamp")
 
 
@@ -257,7 +350,7 @@ def upsert_search_docs(spark, sf_dir):
         (fx.later_html_objects(spark, sf_dir), fx.DAY_TWO),
     ):
         upsert(search.search_documents(objects, fx.instant(day)), path, order="crawl_timestamp")
-    stored = spark.read.schema(schemas.SEARCH_DOCUMENT).parquet(path)
+    stored = read_table(spark, path, schemas.SEARCH_DOCUMENT)
     return _naive(stored, "crawl_timestamp")
 
 
@@ -278,7 +371,9 @@ def tables_roundtrip(spark, sf_dir):
             F.lit(short).alias("table_name"), "university", "n_rows"
         )
         counts = per_university if counts is None else counts.union(per_university)
-    return counts
+    rows = cut(counts)
+    spark.sql(f"DROP DATABASE `{database}` CASCADE")
+    return rows
 
 
 QUERIES = {
@@ -290,6 +385,15 @@ QUERIES = {
     "course_keyword_filter": course_keyword_filter,
     "course_catalog": course_catalog,
     "job_counts": job_counts,
+    "job_profiles": job_profiles,
+    "job_courses": job_courses,
+    "job_landing": job_landing,
+    "job_payloads": job_payloads,
+    "job_crawl": job_crawl,
+    "landing_rerun": landing_rerun,
+    "manifest_rerun": manifest_rerun,
+    "payload_reextract": payload_reextract,
+    "log_sidecars": log_sidecars,
     "preview_topn": preview_topn,
     "preview_courses": preview_courses,
     "publication_enrich": publication_enrich,
