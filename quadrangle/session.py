@@ -1,6 +1,9 @@
 """Session defaults and the shared scratch folder."""
 
+import os
+import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -35,6 +38,24 @@ def build_session(app_name="quadrangle", input_bytes=None):
     return builder.getOrCreate()
 
 
+def ship_code(spark):
+    """Send this package to the executors, once per context, so that Python tasks can import
+    it wherever they run."""
+    context = spark.sparkContext
+    if getattr(context, "_quadrangle_shipped", False):
+        return
+    home = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="code-"), "quadrangle.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in sorted(os.walk(home)):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(home)))
+    context.addPyFile(archive)
+    context._quadrangle_shipped = True
+
+
 def shared_dir(spark):
     """Folder every executor can reach, as named by `spark.checkpoint.dir`.
 

@@ -56,3 +56,9 @@ def test_trials_on_one_machine_get_a_folder(master, named):
     trial = _Session(master)
     ensure_scratch(trial)
     assert (trial.sparkContext.getCheckpointDir() is not None) == named
+
+
+def test_code_is_sent_once(spark):
+    session.ship_code(spark)
+    session.ship_code(spark)
+    assert sum(name.endswith("quadrangle.zip") for name in spark.sparkContext._python_includes) == 1

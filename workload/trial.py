@@ -1,8 +1,10 @@
-"""A shared folder for trials on one machine."""
+"""What a session needs before a registered query runs."""
 
 import functools
 import tempfile
 
+from quadrangle.session import ship_code
+
 
 def ensure_scratch(spark):
     """Name a folder for intermediate data where none is named and one machine runs all tasks."""
@@ -13,11 +15,12 @@ def ensure_scratch(spark):
 
 
 def with_scratch(query):
-    """The query, run after `ensure_scratch`."""
+    """The query, run once the session has its shared folder and the package's code."""
 
     @functools.wraps(query)
     def run(spark, sf_dir):
         ensure_scratch(spark)
+        ship_code(spark)
         return query(spark, sf_dir)
 
     return run
