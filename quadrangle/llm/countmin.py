@@ -90,3 +90,18 @@ def repeated(sketch, keys):
     for at in places(keys, len(sketch) * 4):
         yes &= (sketch[(at >> _U(2)).astype(np.int64)] >> ((at & _U(3)) * _U(2)).astype(np.uint8)) & 3 >= 2
     return yes
+
+
+def _twice(batches, cells):
+    own = Partial(cells)
+    for batch in batches:
+        keys = np.asarray(batch.column(0)).view(np.uint64)
+        yield from own.add(np.r_[keys, keys])
+    yield from own.flush()
+
+
+def membership(keys):
+    """A broadcast sketch of a one-column table of longs, for `repeated`: true for each of
+    them, and for few others unless there are very many."""
+    cells = cells_for(2 * keys.count())
+    return keys.sparkSession.sparkContext.broadcast(merged(keys.mapInArrow(lambda b: _twice(b, cells), PARTIAL_SCHEMA), cells))

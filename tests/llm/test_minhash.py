@@ -79,6 +79,24 @@ def test_empty_table_and_repeated_rows(spark):
     assert sorted((r.doc_id or 0, r.component_id or 0, r.kept) for r in out) == [(0, 0, True), (3, 3, True), (7, 3, False), (7, 3, False), (9, 3, False)]
 
 
+def test_families_of_edits(spark):
+    """Copies edited apart, few of them within reach of the first, some of each other."""
+    rng = random.Random(11)
+    rows = []
+    for family in range(4):
+        base = [f"f{family}w{i}" for i in range(100)]
+        texts = [list(base)]
+        for _ in range(60):
+            text = list(rng.choice([base, base, rng.choice(texts)]))
+            for _ in range(rng.randint(1, 6)):
+                at = rng.randrange(len(text))
+                text[at : at + rng.choice([1, 1, 0])] = rng.choice([[], [f"e{rng.randrange(10**6)}"], [f"e{rng.randrange(4)}"]])
+            texts.append(text)
+        rows += [(rng.randrange(10**9), " ".join(t)) for t in texts]
+    for words, percent in ((3, 85), (5, 80)):
+        assert result(spark, rows, words=words, percent=percent) == brute(rows, words, percent)
+
+
 def test_match_threshold():
-    assert matches_for(100) == 24
-    assert 1 <= matches_for(80) < matches_for(85) < 24
+    assert matches_for(100) == 64
+    assert 30 <= matches_for(80) < matches_for(85) < 64
