@@ -68,8 +68,9 @@ def _anchors(best, place):
     return best[new], np.cumsum(new) - 1
 
 
-def _sketch(docs, keys, cells):
-    """Merge the sketches of `keys(batch)` over all partitions."""
+def _sketch(over, keys, cells):
+    """Merge the sketches of `keys(batch)` over all partitions; `over` runs a function of
+    batches on a table."""
 
     def partial(batches):
         own = countmin.Partial(cells)
@@ -78,7 +79,7 @@ def _sketch(docs, keys, cells):
                 yield from own.add(keys(piece))
         yield from own.flush()
 
-    return countmin.merged(docs.mapInArrow(partial, countmin.PARTIAL_SCHEMA), cells)
+    return countmin.merged(over(partial, countmin.PARTIAL_SCHEMA), cells)
 
 
 def _text_keys(batch):
@@ -100,15 +101,15 @@ def _keyed(docs):
 
 
 def distinct_texts(docs):
-    """(doc, text, text_key): the smallest doc_id of every different text.
+    """A function that runs another one, of batches of (doc, text, text_key), on the
+    smallest doc_id of every different text; and the bytes of all texts.
 
-    Texts seen once by the sketch pass straight through; only possible copies are
-    shuffled, by two hashes of the text, and written down."""
+    Texts seen once by the sketch are read where they lie; only possible copies are
+    shuffled, by their checksums, and written down."""
     spark = docs.sparkSession
     keyed = _keyed(docs)
     size = keyed.agg(F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("bytes")).first()
-    sketch = spark.sparkContext.broadcast(_sketch(keyed.select("text_key", F.lit("").alias("text")), _text_keys, countmin.cells_for(size.n)))
-    single = keyed.mapInArrow(lambda batches: _once(batches, sketch.value), keyed.schema)
+    sketch = spark.sparkContext.broadcast(_sketch(keyed.select("text_key", F.lit("").alias("text")).mapInArrow, _text_keys, countmin.cells_for(size.n)))
     several = keyed.mapInArrow(
         lambda batches: (b.filter(pa.array(countmin.repeated(sketch.value, _text_keys(b)))) for b in batches), keyed.schema
     )
@@ -119,21 +120,25 @@ def distinct_texts(docs):
         .agg(F.min("doc").alias("doc"), F.first("text").alias("text"))
         .select("doc", "text", "text_key")
     )
-    return single, firsts, size.bytes or 0
+
+    def over(function, schema):
+        single = keyed.mapInArrow(lambda batches: function(_once(batches, sketch.value)), schema)
+        return single.unionByName(firsts.mapInArrow(function, schema))
+
+    return over, size.bytes or 0
 
 
 def repeated_windows(docs, width=WIDTH, gram=GRAM):
     """(doc, text_key, starts): starts of windows that occur earlier, per distinct text."""
     spark = docs.sparkSession
-    single, firsts, size = distinct_texts(docs)
-    texts = single.unionByName(firsts)
+    over, size = distinct_texts(docs)
 
     def anchors(batch):
         _, _, _, best, place = _windows(batch, width, gram)
         return _anchors(best, place)[0]
 
     cells = countmin.cells_for(size // BYTES_PER_ANCHOR)
-    sketch = spark.sparkContext.broadcast(_sketch(texts, anchors, cells))
+    sketch = spark.sparkContext.broadcast(_sketch(over, anchors, cells))
 
     def suspects(batches):
         for batch in batches:
@@ -152,7 +157,7 @@ def repeated_windows(docs, width=WIDTH, gram=GRAM):
                     ["window", "doc", "text_key", "start"],
                 )
 
-    found = texts.mapInArrow(suspects, "window long, doc long, text_key long, start int")
+    found = over(suspects, "window long, doc long, text_key long, start int")
     place = F.struct("doc", "text_key", "start")
     firsts_of = found.groupBy("window").agg(F.min(place).alias("first"), F.count("*").alias("n")).where("n > 1")
     later = found.join(firsts_of.select("window", "first"), "window").where(place > F.col("first"))
@@ -167,6 +172,23 @@ def _removed(starts, n, width):
     return np.cumsum(edges[:n]) > 0
 
 
+def _split(batch, marked, touched):
+    hit = countmin.repeated(marked.value, np.asarray(batch.column("doc")).view(np.uint64))
+    return batch.filter(pa.array(hit if touched else ~hit))
+
+
+def _touched(batches, marked):
+    for batch in batches:
+        yield _split(batch, marked, True)
+
+
+def _unmarked(batches, marked):
+    for batch in batches:
+        batch = _split(batch, marked, False)
+        copy, starts = pa.array([False] * batch.num_rows, pa.bool_()), pa.nulls(batch.num_rows, pa.list_(pa.int32()))
+        yield pa.record_batch([batch.column("doc_id"), batch.column("text"), copy, starts], ["doc_id", "text", "copy", "starts"])
+
+
 def _strip(batches, width):
     for batch in batches:
         for piece in pieces(batch):
@@ -218,13 +240,16 @@ def drop_repeated_substrings(docs, width=WIDTH, gram=GRAM):
     marks = late.withColumn("copy", F.lit(False)).unionByName(
         copies.select("doc", "text_key", F.lit(None).cast("array<int>").alias("starts"), F.lit(True).alias("copy"))
     )
+    marks = cut(marks)
+    marked = countmin.membership(marks.select("doc").distinct())
     full = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumns(
         {"doc": F.coalesce("doc_id", F.lit(NO_ID)), "text_key": F.xxhash64("text")}
     )
-    joined = full.join(marks, ["doc", "text_key"], "left").select(
+    shape = "doc_id long, n_words long, n_removed long, kept_text string, kept_sha256 string"
+    # texts that lose nothing are finished where they are read, the others meet their marks
+    whole = full.mapInArrow(lambda batches: _strip(_unmarked(batches, marked), width), shape)
+    touched = full.mapInArrow(lambda batches: _touched(batches, marked), full.schema)
+    joined = touched.join(marks, ["doc", "text_key"], "left").select(
         "doc_id", "text", F.coalesce("copy", F.lit(False)).alias("copy"), "starts"
     )
-    return joined.mapInArrow(
-        lambda batches: _strip(batches, width),
-        "doc_id long, n_words long, n_removed long, kept_text string, kept_sha256 string",
-    )
+    return whole.unionByName(joined.mapInArrow(lambda batches: _strip(batches, width), shape))
