@@ -1,7 +1,7 @@
 """SentencePiece encoding and decoding over a relational lattice.
 
-Texts are cut into units that no piece can cross (a run of blanks and what follows it, or
-a run of newlines). The different units of the corpus are counted; every substring of a
+Texts are cut into units that no piece can cross: between two ASCII characters that stand
+side by side in no piece, such as a letter and the blank after it. The different units of the corpus are counted; every substring of a
 unit of at most the longest piece's length is exploded and equi-joined to the piece table,
 and the edges found are grouped by unit. A higher-order aggregate then folds each unit's
 edges: for unigram models the Viterbi path of the best total score, for merge (BPE)
@@ -15,6 +15,7 @@ shuffled, compressed, to meet theirs. Units longer than a bit mask are merged in
 by the same rule.
 """
 
+import hashlib
 import heapq
 
 import numpy as np
@@ -29,9 +30,12 @@ from quadrangle.session import cut
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 BLANK = "▁"
 LONGEST_UNIT = 60
-HEAD_UNITS = 1 << 22
-HEAD_IDS = 16
-HELD_UNITS = 1 << 20
+HEAD_UNITS = 1 << 23
+HEAD_IDS = 64
+ENCODE_BYTES = 1 << 20
+HELD_UNITS = 1 << 19
+TALLY_BYTES = 4 << 20
+TALLY_PLACES = 1 << 20
 
 
 class Vocabulary:
@@ -55,11 +59,19 @@ class Vocabulary:
         # merge models have whole-numbered scores: the negated order of their merges
         self.merges = all(score == int(score) for _, _, score in self.rows)
         self.longest = max(len(piece) for piece, _, _ in self.rows)
+        # ASCII characters that stand side by side in some piece, the blank sign as a blank
+        self.pairs = np.zeros(256 * 256, bool)
+        self.pairs.reshape(256, 256)[128:] = self.pairs.reshape(256, 256)[:, 128:] = True
+        for text in self.text:
+            raw = np.frombuffer(text, np.uint8).astype(np.int64)
+            self.pairs[raw[:-1] * 256 + raw[1:]] = True
         self.by_text = {piece: (-score, i) for piece, i, score in self.rows}
 
     def table(self, spark):
-        """(piece, id, score): a fixed number of rows, whatever the corpus."""
-        return spark.createDataFrame(self.rows, "piece string, id int, score double")
+        """(key, piece, id, rank): a fixed number of rows, whatever the corpus."""
+        order = {score: rank for rank, score in enumerate(sorted({-score for _, _, score in self.rows}))}
+        rows = [(piece, i, order[-score]) for piece, i, score in self.rows]
+        return spark.createDataFrame(rows, "text string, id int, rank long").withColumn("key", F.xxhash64("text"))
 
     def merged(self, unit):
         """Ids of one unit by merging the best neighbours until none is left."""
@@ -94,23 +106,26 @@ class Vocabulary:
         return ids
 
 
-def units(data, offsets):
+def units(data, offsets, pairs):
     """Texts with a blank put before each that is not empty: (bytes, offsets, unit starts)."""
     full = np.flatnonzero(np.diff(offsets))
     data = np.insert(data, offsets[full], 32)
     offsets = offsets + np.r_[0, np.cumsum(np.diff(offsets) > 0)]
-    blank, line = data == 32, data == 10
     edge = np.zeros(len(data) + 1, bool)
     edge[offsets] = True
     start = edge[:-1].copy()
-    start[1:] |= (blank[1:] & ~blank[:-1]) | (line[1:] != line[:-1])
+    start[1:] |= ~pairs[data[:-1].astype(np.int32) * 256 + data[1:]]
     return data, offsets, np.flatnonzero(start)
 
 
-def _characters(data, starts):
-    """Code points in each unit."""
-    heads = np.r_[0, np.cumsum((data & 0xC0) != 0x80)]
-    return heads[np.r_[starts[1:], len(data)]] - heads[starts]
+def _long(data, starts):
+    """Which units have more code points than the lattice takes."""
+    size = np.diff(np.r_[starts, len(data)])
+    long = size > LONGEST_UNIT
+    for i in np.flatnonzero(long):
+        own = data[starts[i] : starts[i] + size[i]]
+        long[i] = ((own & 0xC0) != 0x80).sum() > LONGEST_UNIT
+    return long
 
 
 def _plain(column):
@@ -118,12 +133,20 @@ def _plain(column):
     return pa.array([t.replace(BLANK, " ") if t and BLANK in t else t for t in column.to_pylist()], pa.string())
 
 
-def _read(piece):
+def _read(piece, pairs):
     column = piece.column("text")
     data, offsets = buffers(column)
     if (data == 0xE2).any():
         data, offsets = buffers(_plain(column))
-    return units(data, offsets)
+    return units(data, offsets, pairs)
+
+
+def _texts(data, starts, picked):
+    """The texts of some units as an Arrow array."""
+    size = np.r_[starts[1:], len(data)][picked] - starts[picked]
+    flat = _gather(data, starts[picked], size)
+    offsets = np.r_[0, np.cumsum(size)].astype(np.int32)
+    return pa.StringArray.from_buffers(len(picked), pa.py_buffer(offsets), pa.py_buffer(flat))
 
 
 def _words(data, starts, picked):
@@ -131,65 +154,116 @@ def _words(data, starts, picked):
     return [data[a:b].tobytes().decode() for a, b in zip(starts[picked].tolist(), ends[picked].tolist(), strict=True)]
 
 
-def _tally(batches):
+class Tally:
+    """Counts of units by hash, with the text of each kept once.
+
+    A table with one place per low bits of the hash counts what it already holds; only
+    the rest is sorted."""
+
+    def __init__(self):
+        self.known, self.counts, self.at = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.words, self.many = [], 0
+        self.held = np.zeros(TALLY_PLACES, np.uint64)
+        self.hits = np.zeros(TALLY_PLACES, np.int64)
+
+    def add(self, hashes, text_of):
+        """Count `hashes`; `text_of` gives the texts of units by their index."""
+        place = (hashes & np.uint64(TALLY_PLACES - 1)).astype(np.int32)
+        hit = self.held[place] == hashes
+        self.hits += np.bincount(place[hit], minlength=TALLY_PLACES)
+        rest = np.flatnonzero(~hit)
+        found, first, times = np.unique(hashes[rest], return_index=True, return_counts=True)
+        at = np.searchsorted(self.known, found)
+        old = np.zeros(len(found), bool)
+        inside = at < len(self.known)
+        old[inside] = self.known[at[inside]] == found[inside]
+        self.counts[at[old]] += times[old]
+        new = ~old
+        self.at = np.insert(self.at, at[new], self.many + np.arange(new.sum()))
+        self.known, self.counts = np.insert(self.known, at[new], found[new]), np.insert(self.counts, at[new], times[new])
+        self.words.append(text_of(rest[first[new]]))
+        self.many += int(new.sum())
+        place = (found & np.uint64(TALLY_PLACES - 1)).astype(np.int32)
+        free = self.held[place] == 0
+        self.held[place[free]] = found[free]
+
+    def rows(self):
+        held = np.flatnonzero(self.hits)
+        self.counts[np.searchsorted(self.known, self.held[held])] += self.hits[held]
+        words = pa.concat_arrays([pa.array([], pa.string()), *self.words])
+        return pa.record_batch([words, pa.array(self.counts[np.argsort(self.at)], pa.int64())], ["unit", "n"])
+
+
+def _tally(batches, pairs):
     """(unit, n) for the units of one task, each once unless there are very many."""
-    known, counts, words = np.zeros(0, np.uint64), np.zeros(0, np.int64), []
-    at = np.zeros(0, np.int64)
-
-    def rows():
-        return pa.record_batch([pa.array(words, pa.string()), pa.array(counts[np.argsort(at)], pa.int64())], ["unit", "n"])
-
+    tally = Tally()
     for batch in batches:
-        for piece in pieces(batch):
-            data, offsets, starts = _read(piece)
+        for piece in pieces(batch, limit=TALLY_BYTES):
+            data, offsets, starts = _read(piece, pairs)
             if not len(starts):
                 continue
-            short = np.flatnonzero(_characters(data, starts) <= LONGEST_UNIT)
-            found, first, times = np.unique(segment_hashes(data, starts)[short], return_index=True, return_counts=True)
-            place = np.searchsorted(known, found)
-            old = np.zeros(len(found), bool)
-            old[place < len(known)] = known[place[place < len(known)]] == found[place < len(known)]
-            counts[place[old]] += times[old]
-            new = ~old
-            at = np.insert(at, place[new], len(words) + np.arange(new.sum()))
-            known, counts = np.insert(known, place[new], found[new]), np.insert(counts, place[new], times[new])
-            words += _words(data, starts, short[first[new]])
-            if len(words) > HELD_UNITS:
-                yield rows()
-                known, counts, words, at = known[:0], counts[:0], [], at[:0]
-    yield rows()
+            short = np.flatnonzero(~_long(data, starts))
+            tally.add(segment_hashes(data, starts)[short], lambda own, d=data, s=starts, k=short: _texts(d, s, k[own]))
+            if tally.many > HELD_UNITS:
+                yield tally.rows()
+                tally = Tally()
+    yield tally.rows()
 
 
 def lattice(words, vocabulary, spark):
-    """(unit, n, size, edges): pieces found in each unit, best score first.
+    """(unit, n, size, edges): the pieces found in each unit, best rank first.
 
-    An edge has its id and score, the bits of its two ends and of the places inside it."""
-    substrings = f"""
-        inline(flatten(transform(sequence(0, size - 1), s ->
-            transform(sequence(1, least({vocabulary.longest}, size - s)), l ->
-                struct(s AS start, l AS len, substring(sign, s + 1, l) AS piece)))))"""
+    An edge has its place and id, the bits of its two ends and of the places inside it.
+    A character by itself is an edge only where paths are scored; merging needs none.
+    """
+    least = 2 if vocabulary.merges else 1
     signed = words.withColumn("sign", F.replace("unit", F.lit(" "), F.lit(BLANK))).withColumn("size", F.char_length("unit"))
-    spread = signed.selectExpr("unit", "n", "size", substrings)
-    found = spread.join(F.broadcast(vocabulary.table(spark)), "piece", "left").where("id IS NOT NULL OR (start = 0 AND len = 1)")
-    edge = F.expr("""
-        CASE WHEN id IS NOT NULL THEN struct(-score AS cost, start, len, id,
-            shiftleft(1L, start) | shiftleft(1L, start + len) AS ends,
-            shiftleft(1L, start + len) - shiftleft(1L, start + 1) AS inside) END""")
-    return found.groupBy("unit", "n", "size").agg(F.sort_array(F.collect_list(edge)).alias("edges"))
-
-
-# the best-ranked edge over exactly two neighbouring symbols is merged, `size` - 1 times at most
-MERGES = """
-    aggregate(sequence(1, size), shiftleft(1L, size + 1) - 1L, (cuts, step) ->
-        cuts & ~coalesce(get(filter(edges, e ->
-            (cuts & e.ends) = e.ends AND bit_count(cuts & e.inside) = 1), 0).inside, 0L))"""
+    starts = signed.selectExpr("*", "explode(sequence(0, size - 1)) AS start")
+    # a last character alone still gives its unit a row
+    lengths = starts.selectExpr("*", f"explode(sequence({least}, greatest({least}, least({vocabulary.longest}, size - start)))) AS len")
+    spread = lengths.selectExpr("unit", "n", "size", "start", "len", "substring(sign, start + 1, len) AS piece").withColumn("key", F.xxhash64("piece"))
+    # joined on a number, which is fast to look up; the text itself decides
+    table = F.broadcast(vocabulary.table(spark))
+    found = spread.join(table, (spread.key == table.key) & (spread.piece == table.text) & F.expr("start + len <= size"), "left")
+    # edges travel as one number: rank, place, length and id
+    code = F.expr("shiftleft(rank, 34) | shiftleft(CAST(start AS BIGINT), 28) | shiftleft(CAST(len AS BIGINT), 22) | id")
+    grouped = found.where("id IS NOT NULL OR (start = 0 AND len <= 2)").groupBy("unit", "n", "size").agg(F.collect_list(code).alias("codes"))
+    start, length = "CAST(shiftright(c, 28) & 63 AS INT)", "CAST(shiftright(c, 22) & 63 AS INT)"
+    edges = f"""transform(array_sort(codes), c -> struct({start} AS start, {length} AS len, c & 4194303L AS id,
+        shiftleft(1L, {start}) | shiftleft(1L, {start} + {length}) AS ends,
+        shiftleft(1L, {start} + {length}) - shiftleft(1L, {start} + 1) AS inside)) AS edges"""
+    return grouped.selectExpr("unit", "n", "size", edges)
+
+
+# the cuts, and the longer pieces between neighbouring ones in text order, as place and id
+PATH = """struct(cuts, array_sort(transform(
+    filter(edges, e -> (cuts & e.ends) = e.ends AND (cuts & e.inside) = 0L AND e.len > 1),
+    e -> shiftleft(CAST(e.start AS BIGINT), 32) | e.id)) AS found)"""
+
+# the best-ranked edge over exactly two neighbouring symbols is merged, a step for each;
+# the sign bit tells that none is left
+MERGES = f"""
+    aggregate(sequence(0, least(size, size(edges))), shiftleft(1L, size + 1) - 1L, (cuts, step) ->
+        if(cuts < 0, cuts, coalesce(cuts & ~get(filter(edges, e ->
+            (cuts & e.ends) = e.ends AND bit_count(cuts & e.inside) = 1), 0).inside, cuts | {-(2**63) + 1}L - 1L)),
+        cuts -> element_at(transform(array(cuts & {2**63 - 1}L), cuts -> {PATH}), 1))"""
 
 # best cost and last start per place; a character outside the vocabulary costs `OUTSIDE`
 OUTSIDE = 1e6
+
+
+def best_path(vocabulary):
+    """The expression of the best path over a unigram model's costs, as cuts."""
+    costs = [0.0] * (1 + max(i for _, i, _ in vocabulary.rows))
+    for _, i, score in vocabulary.rows:
+        costs[i] = -score
+    return VITERBI.replace("COST", "array(" + ", ".join(f"{c!r}D" for c in costs) + ")[CAST(e.id AS INT)]")
+
+
 VITERBI = f"""
     aggregate(
         sort_array(concat(
-            transform(edges, e -> struct(e.start + e.len AS stop, e.start AS start, e.cost AS cost)),
+            transform(edges, e -> struct(e.start + e.len AS stop, e.start AS start, COST AS cost)),
             transform(sequence(0, size - 1), s -> struct(s + 1 AS stop, s AS start, {OUTSIDE}D AS cost)))),
         transform(sequence(0, size), p -> struct(if(p = 0, 0D, double('infinity')) AS cost, 0 AS start)),
         (best, e) -> if(best[e.start].cost + e.cost < best[e.stop].cost,
@@ -200,28 +274,49 @@ VITERBI = f"""
 
 
 def dictionary(docs, vocabulary):
-    """(unit, n, ids) for every different unit of `docs` of at most `LONGEST_UNIT` characters."""
+    """(unit, n, path) for every different unit of `docs` of at most `LONGEST_UNIT` characters.
+
+    The path holds the cuts, as bits, and the pieces of two characters and more."""
     spark = docs.sparkSession
-    words = docs.select("text").mapInArrow(_tally, "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n"))
+    pairs = vocabulary.pairs
+    words = docs.select("text").mapInArrow(lambda batches: _tally(batches, pairs), "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n"))
     edges = lattice(words, vocabulary, spark)
-    cut_at = edges.withColumn("cuts", F.expr(MERGES if vocabulary.merges else VITERBI))
-    bytes_at = "array(" + ", ".join(map(str, vocabulary.bytes_at)) + ")"
-    places = "filter(sequence(0, size), p -> (shiftright(cuts, p) & 1L) = 1)"
-    letter = "hex(encode(substring(unit, places[k] + 1, places[k + 1] - places[k]), 'UTF-8'))"
-    whole = f"""flatten(transform(sequence(0, size(places) - 2), k ->
-        CASE WHEN exists(edges, e -> e.start = places[k] AND e.len = places[k + 1] - places[k])
-        THEN transform(slice(filter(edges, e -> e.start = places[k] AND e.len = places[k + 1] - places[k]), 1, 1), e -> e.id)
-        ELSE transform(sequence(0, length({letter}) DIV 2 - 1), b ->
-            {bytes_at}[int(conv(substring({letter}, 2 * b + 1, 2), 16, 10))]) END))"""
-    return cut_at.withColumn("places", F.expr(places)).select("unit", "n", F.expr(whole).alias("ids"))
-
-
-def _hashed(batches):
+    path = MERGES if vocabulary.merges else f"element_at(transform(array({best_path(vocabulary)}), cuts -> {PATH}), 1)"
+    return edges.select("unit", "n", F.expr(path).alias("path"))
+
+
+def _hashed(batches, vocabulary):
+    """(h, n, ids): units by hash; single characters get their piece's id, or bytes."""
+    vocabulary = vocabulary.value
+    alone = np.full(0x110000, -1, np.int32)
+    for piece, (_, i) in vocabulary.by_text.items():
+        if len(piece) == 1:
+            alone[32 if piece == BLANK else ord(piece)] = i
     for batch in batches:
+        if not batch.num_rows:
+            continue
         data, offsets = buffers(batch.column("unit"))
-        if batch.num_rows:
-            hashes = segment_hashes(data, offsets[:-1])
-            yield pa.record_batch([pa.array(hashes.view(np.int64)), batch.column("n"), batch.column("ids")], ["h", "n", "ids"])
+        cuts = np.asarray(batch.column("path").field("cuts")).astype("<u8")
+        rows, at = np.nonzero(np.unpackbits(cuts.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little"))
+        own = rows[1:] == rows[:-1]
+        rows, start, size = rows[:-1][own], at[:-1][own], np.diff(at)[own]
+        text = np.frombuffer(data.tobytes().decode().encode("utf-32-le"), "<u4")
+        heads = np.r_[0, np.cumsum((data & 0xC0) != 0x80)][offsets[:-1]]
+        letter = text[heads[rows] + start]
+        ids = alone[letter]
+        ids[size > 1] = np.asarray(batch.column("path").field("found").flatten()) & 0xFFFFFFFF
+        many = np.ones(len(ids), np.int64)
+        unknown = np.flatnonzero(ids < 0)
+        if len(unknown):
+            spelled = [chr(c).encode() for c in letter[unknown].tolist()]
+            many[unknown] = [len(x) for x in spelled]
+            begin = np.cumsum(many) - many
+            ids = np.repeat(ids, many)
+            for place, raw in zip(begin[unknown].tolist(), spelled, strict=True):
+                ids[place : place + len(raw)] = [vocabulary.bytes_at[x] for x in raw]
+        stop = np.cumsum(np.bincount(rows, many, batch.num_rows).astype(np.int64))
+        lists = pa.ListArray.from_arrays(pa.array(np.r_[0, stop].astype(np.int32)), pa.array(ids, pa.int32()))
+        yield pa.record_batch([pa.array(segment_hashes(data, offsets[:-1]).view(np.int64)), batch.column("n"), lists], ["h", "n", "ids"])
 
 
 class Head:
@@ -231,16 +326,30 @@ class Head:
         hashes = np.asarray(table.column("h").combine_chunks()).view(np.uint64) if table.num_rows else np.zeros(0, np.uint64)
         order = np.argsort(hashes)
         lists = table.column("ids").combine_chunks().take(pa.array(order)) if table.num_rows else pa.array([], pa.list_(pa.int32()))
+        ends = np.r_[0, np.cumsum(np.asarray(lists.value_lengths(), np.int64))]
+        ids = np.asarray(lists.flatten())
         self.hashes = hashes[order]
-        self.first = np.r_[0, np.cumsum(np.asarray(lists.value_lengths(), np.int64))].astype(np.int32 if len(lists) < 1 << 26 else np.int64)
-        self.ids = np.asarray(lists.flatten()).astype(np.uint16 if table.num_rows else np.int32)
+        self.first = ends.astype(np.int32) if ends[-1] < 1 << 31 else ends
+        self.ids = ids.astype(np.uint16) if not len(ids) or ids.max() < 1 << 16 else ids
+        # hashes are spread evenly, so their first bits lead to a run of one to two
+        self.bits = max(1, (max(1, len(hashes)) - 1).bit_length() - 1)
+        heads = np.arange(1 << self.bits, dtype=np.uint64) << np.uint64(64 - self.bits)
+        self.runs = np.r_[np.searchsorted(self.hashes, heads), len(hashes)].astype(np.int32)
 
     def find(self, hashes):
         """Index of each unit, -1 where it is not among the frequent ones."""
-        if not len(self.hashes):
-            return np.full(len(hashes), -1)
-        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
-        return np.where(self.hashes[at] == hashes, at, -1)
+        head = (hashes >> np.uint64(64 - self.bits)).astype(np.int64)
+        at, stop = self.runs[head], self.runs[head + 1]
+        found = np.full(len(hashes), -1, np.int32)
+        left = np.flatnonzero(at < stop)
+        while len(left):
+            own = at[left]
+            same = self.hashes[own] == hashes[left]
+            found[left[same]] = own[same]
+            left, own = left[~same], own[~same] + 1
+            at[left] = own
+            left = left[own < stop[left]]
+        return found
 
 
 def _gather(flat, first, size):
@@ -251,94 +360,132 @@ def _gather(flat, first, size):
     return flat[np.repeat(first - np.r_[0, ends[:-1]], size) + np.arange(ends[-1])]
 
 
+class Cut:
+    """The texts of a piece cut into units, and those looked up among the frequent ones."""
+
+    def __init__(self, piece, head, pairs):
+        self.data, self.offsets, self.starts = _read(piece, pairs)
+        self.hashes = segment_hashes(self.data, self.starts) if len(self.starts) else np.zeros(0, np.uint64)
+        self.long = _long(self.data, self.starts)
+        self.found = head.find(self.hashes)
+        self.found[self.long] = -1
+        self.bounds = np.searchsorted(self.starts, self.offsets)
+        self.rare = np.flatnonzero((self.found < 0) & ~self.long)
+        self.rare_rows = np.searchsorted(self.bounds, self.rare, side="right") - 1
+
+
 class Encoder:
     """Puts ids of whole texts together, and reads them back."""
 
     def __init__(self, head, vocabulary):
         self.head, self.vocabulary = head, vocabulary
-        self.size = np.array([len(t) for t in vocabulary.text])
+        self.size = np.array([len(t) for t in vocabulary.text], np.int64)
         self.first = np.r_[0, np.cumsum(self.size)[:-1]]
         self.flat = np.frombuffer(b"".join(vocabulary.text), np.uint8)
 
-    def rows(self, piece, rare):
-        """Ids per text; `rare` holds [(unit number, ids)] for units not in the head."""
-        data, offsets, starts = _read(piece)
-        hashes = segment_hashes(data, starts) if len(starts) else np.zeros(0, np.uint64)
-        long = np.flatnonzero(_characters(data, starts) > LONGEST_UNIT) if len(starts) else starts
-        found = self.head.find(hashes)
-        bounds = np.searchsorted(starts, offsets)
-        flat, first = self.head.ids.astype(np.int32), np.asarray(self.head.first, np.int64)
-        more = []
-        for unit, word in zip(long.tolist(), _words(data, starts, long), strict=True):
-            more.append((unit, self.vocabulary.merged(word.replace(" ", BLANK))))
-        for row, own in enumerate(rare):
-            more += [(int(bounds[row]) + x["at"], x["ids"]) for x in own or ()]
-        if more:
-            found[[u for u, _ in more]] = len(first) - 1 + np.arange(len(more))
-            sizes = np.cumsum([len(ids) for _, ids in more])
-            flat = np.concatenate([flat, *[np.asarray(ids, np.int32) for _, ids in more]])
-            first = np.r_[first, first[-1] + sizes]
-        size = first[found + 1] - first[found]
-        ids = _gather(flat, first[found], size)
-        stop = np.r_[0, np.cumsum(size)][bounds]
-        return ids, stop
-
-    def decode(self, ids):
-        """UTF-8 bytes of a list of ids, without the blank put before the text."""
-        ids = np.asarray(ids, np.int64)
-        return _gather(self.flat, self.first[ids], self.size[ids])[1:].tobytes()
-
-
-def _rare(batches, head):
+    def ids(self, cut_, rare):
+        """Ids of all texts, and where each ends; `rare` holds [(unit number, ids)] per text."""
+        long = np.flatnonzero(cut_.long)
+        more = {}
+        for unit, word in zip(long.tolist(), _words(cut_.data, cut_.starts, long), strict=True):
+            more[unit] = self.vocabulary.merged(word.replace(" ", BLANK))
+        for row, own in enumerate(rare or ()):
+            for x in own or ():
+                more[int(cut_.bounds[row]) + x["at"]] = x["ids"]
+        known = cut_.found >= 0
+        if known.all():
+            at = cut_.found
+            first = self.head.first[at]
+            size = self.head.first[at + 1] - first
+            ids = _gather(self.head.ids, first, size).astype(np.int32)
+        else:
+            at = cut_.found[known]
+            first, size = self.head.first[at], np.zeros(len(known), np.int64)
+            size[known] = self.head.first[at + 1] - first
+            for unit, own in more.items():
+                size[unit] = len(own)
+            begin = np.cumsum(size) - size
+            ids = np.empty(int(size.sum()), np.int32)
+            ids[_gather_places(begin[known], size[known])] = _gather(self.head.ids, first, size[known])
+            for unit, own in more.items():
+                ids[begin[unit] : begin[unit] + len(own)] = own
+        return ids, np.r_[0, np.cumsum(size, dtype=np.int64)][cut_.bounds]
+
+    def decode(self, ids, stop):
+        """UTF-8 bytes of all texts, each with the blank put before it, and where each ends."""
+        size = self.size[ids]
+        return _gather(self.flat, self.first[ids], size), np.r_[0, np.cumsum(size)][stop]
+
+
+def _gather_places(begin, size):
+    ends = np.cumsum(size)
+    if not len(ends) or not ends[-1]:
+        return np.zeros(0, np.int64)
+    return np.repeat(begin - np.r_[0, ends[:-1]], size) + np.arange(ends[-1])
+
+
+def _rare(batches, head, pairs):
     """(doc, text_key, at, h) of units that are neither frequent nor long."""
     for batch in batches:
-        for piece in pieces(batch):
-            data, offsets, starts = _read(piece)
-            if not len(starts):
-                continue
-            hashes = segment_hashes(data, starts)
-            at = np.flatnonzero((head.value.find(hashes) < 0) & (_characters(data, starts) <= LONGEST_UNIT))
-            bounds = np.searchsorted(starts, offsets)
-            rows = np.searchsorted(bounds, at, side="right") - 1
+        for piece in pieces(batch, limit=ENCODE_BYTES):
+            own = Cut(piece, head.value, pairs)
+            rows = own.rare_rows
             yield pa.record_batch(
-                [piece.column("doc").take(pa.array(rows)), piece.column("text_key").take(pa.array(rows)), pa.array((at - bounds[rows]).astype(np.int32)), pa.array(hashes[at].view(np.int64))],
+                [
+                    piece.column("doc").take(pa.array(rows)), piece.column("text_key").take(pa.array(rows)),
+                    pa.array((own.rare - own.bounds[rows]).astype(np.int32)), pa.array(own.hashes[own.rare].view(np.int64)),
+                ],
                 ["doc", "text_key", "at", "h"],
             )
 
 
-def _split(batches, head, vocabulary, own):
-    """Texts of frequent and long units alone (`own`), or the others, compressed."""
-    pack = zstandard.ZstdCompressor(3)
+def _near(batches, head, vocabulary, digest):
+    """Texts of frequent and long units alone, encoded."""
     encoder = Encoder(head.value, vocabulary.value)
     for batch in batches:
-        for piece in pieces(batch):
-            data, offsets, starts = _read(piece)
-            rows = np.zeros(0, np.int64)
-            if len(starts):
-                lacking = (encoder.head.find(segment_hashes(data, starts)) < 0) & (_characters(data, starts) <= LONGEST_UNIT)
-                rows = np.unique(np.searchsorted(offsets, starts[lacking], side="right") - 1)
-            picked = np.zeros(piece.num_rows, bool)
-            picked[rows] = True
-            piece = piece.filter(pa.array(~picked if own else picked))
-            if own:
-                yield _encoded(piece, encoder, [None] * piece.num_rows)
-            else:
-                blobs = [pack.compress(t.encode()) for t in piece.column("text").to_pylist()]
-                yield pa.record_batch([piece.column("doc_id"), piece.column("doc"), piece.column("text_key"), pa.array(blobs, pa.binary())], ["doc_id", "doc", "text_key", "blob"])
-
-
-def _encoded(piece, encoder, rare):
-    ids, stop = encoder.rows(piece, rare)
-    texts = piece.column("text").to_pylist()
-    decoded = [encoder.decode(ids[a:b]) for a, b in zip(stop[:-1], stop[1:], strict=True)]
+        for piece in pieces(batch, limit=ENCODE_BYTES):
+            own = Cut(piece, head.value, vocabulary.value.pairs)
+            if len(own.rare):
+                kept = np.ones(piece.num_rows, bool)
+                kept[own.rare_rows] = False
+                piece = piece.filter(pa.array(kept))
+                own = Cut(piece, head.value, vocabulary.value.pairs)
+            yield _encoded(piece, own, encoder, None, digest)
+
+
+def _far(batches, head, vocabulary):
+    """The other texts, compressed."""
+    pack = zstandard.ZstdCompressor(3)
+    for batch in batches:
+        for piece in pieces(batch, limit=ENCODE_BYTES):
+            own = Cut(piece, head.value, vocabulary.value.pairs)
+            part = piece.take(pa.array(np.unique(own.rare_rows)))
+            blobs = [pack.compress(t.encode()) for t in part.column("text").to_pylist()]
+            yield pa.record_batch([part.column("doc_id"), part.column("doc"), part.column("text_key"), pa.array(blobs, pa.binary())], ["doc_id", "doc", "text_key", "blob"])
+
+
+def _encoded(piece, own, encoder, rare, digest):
+    ids, stop = encoder.ids(own, rare)
+    decoded, ends = encoder.decode(ids, stop)
+    texts, offsets = buffers(piece.column("text"))
+    lead = (np.diff(ends) > 0).astype(np.int64)
+    begin, size = ends[:-1] + lead, np.diff(ends) - lead
+    whole = texts
+    if len(decoded) and lead.any():
+        whole = np.delete(decoded, ends[:-1][lead > 0])
+    same = size == np.diff(offsets)
+    if len(whole) != len(texts) or not np.array_equal(whole, texts):
+        same &= [np.array_equal(decoded[b : b + n], texts[o : o + n]) for b, n, o in zip(begin, size, offsets, strict=False)]
+    if digest:
+        many = np.diff(stop)
+        sums = [hashlib.sha256(ids[a:b].astype("<i4").tobytes()).hexdigest() for a, b in zip(stop[:-1], stop[1:], strict=True)]
+        return pa.record_batch([piece.column("doc_id"), pa.array(many, pa.int64()), pa.array(sums, pa.string()), pa.array(same)], ["doc_id", "n_pieces", "ids_sha256", "round_trip"])
     lists = pa.ListArray.from_arrays(pa.array(stop.astype(np.int32)), pa.array(ids, pa.int32()))
-    return pa.record_batch(
-        [piece.column("doc_id"), lists, pa.array([d.decode() for d in decoded], pa.string()), pa.array([d == (t or "").encode() for d, t in zip(decoded, texts, strict=True)])],
-        ["doc_id", "ids", "decoded", "round_trip"],
-    )
+    read = [decoded[b : b + n].tobytes().decode() for b, n in zip(begin, size, strict=True)]
+    return pa.record_batch([piece.column("doc_id"), lists, pa.array(read, pa.string()), pa.array(same)], ["doc_id", "ids", "decoded", "round_trip"])
 
 
-def _joined(batches, head, vocabulary):
+def _joined(batches, head, vocabulary, digest):
     unpack = zstandard.ZstdDecompressor()
     encoder = Encoder(head.value, vocabulary.value)
     for batch in batches:
@@ -346,21 +493,24 @@ def _joined(batches, head, vocabulary):
             part = batch.slice(lo, 256)
             texts = [unpack.decompress(b).decode() for b in part.column("blob").to_pylist()]
             piece = pa.record_batch([part.column("doc_id"), pa.array(texts, pa.string())], ["doc_id", "text"])
-            yield _encoded(piece, encoder, part.column("rare").to_pylist())
+            yield _encoded(piece, Cut(piece, head.value, vocabulary.value.pairs), encoder, part.column("rare").to_pylist(), digest)
 
 
-def encode(docs, path=MODEL, head_units=HEAD_UNITS):
+def encode(docs, path=MODEL, head_units=HEAD_UNITS, digest=False):
     """(doc_id, ids, decoded, round_trip) for every row of `docs`.
 
     `ids` are the model's pieces of the whole text with a blank put before it, `decoded`
     the text read back from them, `round_trip` whether that is the text given; it is not
     where a text holds the blank sign U+2581 itself, which reads back as a blank. A null
     or empty text has no pieces, and an empty text decoded. Rows that share doc_id and
-    text are encoded alike; a null doc_id is kept. Other columns are ignored.
+    text are encoded alike; a null doc_id is kept. Other columns are ignored. With `digest` the
+    columns are (doc_id, n_pieces, ids_sha256, round_trip): the ids are counted and hashed,
+    as little-endian 32-bit numbers, where they are made.
     """
     spark = docs.sparkSession
     vocabulary = Vocabulary(path)
-    known = cut(dictionary(docs, vocabulary).mapInArrow(_hashed, "h long, n long, ids array<int>"))
+    words = spark.sparkContext.broadcast(vocabulary)
+    known = cut(dictionary(docs, vocabulary).mapInArrow(lambda batches: _hashed(batches, words), "h long, n long, ids array<int>"))
     total = known.count()
     floor = 0
     if total > head_units:
@@ -368,27 +518,21 @@ def encode(docs, path=MODEL, head_units=HEAD_UNITS):
     # bounded by `head_units` times `HEAD_IDS` ids
     frequent = known.where((F.col("n") > floor) & (F.size("ids") <= HEAD_IDS))
     head = spark.sparkContext.broadcast(Head(frequent.select("h", "ids").toArrow()))
-    words = spark.sparkContext.broadcast(vocabulary)
 
     text = F.coalesce("text", F.lit(""))
     keyed = docs.select("doc_id", F.coalesce("doc_id", F.lit(-(2**63))).alias("doc"), text.alias("text"), F.xxhash64(text).alias("text_key"))
-    shape = "doc_id long, ids array<int>, decoded string, round_trip boolean"
-    near = keyed.mapInArrow(lambda batches: _split(batches, head, words, True), shape)
+    shape = "doc_id long, n_pieces long, ids_sha256 string, round_trip boolean" if digest else "doc_id long, ids array<int>, decoded string, round_trip boolean"
+    near = keyed.select("doc_id", "text").mapInArrow(lambda batches: _near(batches, head, words, digest), shape)
     rest = known.where((F.col("n") <= floor) | (F.size("ids") > HEAD_IDS)).select("h", "ids")
     if rest.isEmpty():
         return near
-    rare = keyed.mapInArrow(lambda batches: _rare(batches, head), "doc long, text_key long, at int, h long").distinct()
+    rare = keyed.mapInArrow(lambda batches: _rare(batches, head, vocabulary.pairs), "doc long, text_key long, at int, h long").distinct()
     met = rare.join(rest, "h").groupBy("doc", "text_key").agg(F.collect_list(F.struct("at", "ids")).alias("rare"))
-    far = keyed.mapInArrow(lambda batches: _split(batches, head, words, False), "doc_id long, doc long, text_key long, blob binary")
+    far = keyed.mapInArrow(lambda batches: _far(batches, head, words), "doc_id long, doc long, text_key long, blob binary")
     far = far.join(met, ["doc", "text_key"]).select("doc_id", "blob", "rare")
-    return near.unionByName(far.mapInArrow(lambda batches: _joined(batches, head, words), shape))
+    return near.unionByName(far.mapInArrow(lambda batches: _joined(batches, head, words, digest), shape))
 
 
 def document_pieces(docs, **more):
-    """(doc_id, n_pieces, ids_sha256, round_trip): ids digested as text, joined by blanks."""
-    return encode(docs.select("doc_id", "text"), **more).select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_pieces"),
-        F.sha2(F.encode(F.array_join(F.col("ids").cast("array<string>"), " "), "UTF-8"), 256).alias("ids_sha256"),
-        "round_trip",
-    )
+    """(doc_id, n_pieces, ids_sha256, round_trip) for every row of `docs`."""
+    return encode(docs.select("doc_id", "text"), digest=True, **more)

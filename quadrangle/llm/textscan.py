@@ -6,6 +6,8 @@ object is made per word. Texts are walked in slices that end between words; a sl
 grows only for a single word longer than it.
 """
 
+import ctypes
+
 import numpy as np
 import pyarrow as pa
 
@@ -13,6 +15,16 @@ SLICE_BYTES = 1 << 18
 PIECE_BYTES = 2 << 20
 GROUP_SEED = 20240607
 
+# Memory of large arrays goes back to the system when they are freed, so that a worker that
+# is kept for later tasks holds little: fixed thresholds for glibc, and Arrow on top of it.
+try:
+    _libc = ctypes.CDLL("libc.so.6")
+    _libc.mallopt(-3, 1 << 20)  # M_MMAP_THRESHOLD
+    _libc.mallopt(-1, 1 << 20)  # M_TRIM_THRESHOLD
+    pa.set_memory_pool(pa.system_memory_pool())
+except OSError:  # another C library
+    pass
+
 _U = np.uint64
 _rng = np.random.default_rng(GROUP_SEED)
 _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * _U(2) + _U(1)

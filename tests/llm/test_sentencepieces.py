@@ -1,11 +1,13 @@
+import hashlib
 import math
 import random
 
+import numpy as np
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
-from quadrangle.llm.sentencepieces import MODEL, VITERBI, Vocabulary, document_pieces, encode, lattice
+from quadrangle.llm.sentencepieces import MODEL, Vocabulary, best_path, document_pieces, encode, lattice
 
 
 @pytest.fixture(scope="module")
@@ -49,6 +51,10 @@ def test_long_text_repeated_rows_and_empty_table(spark, model):
     got = sorted((r.doc_id or 0, r.decoded) for r in encode(docs, head_units=0).collect())
     assert got == [(0, "the same"), (1, "another one"), (1, "the same"), (1, "the same")]
     assert document_pieces(docs.limit(0)).collect() == []
+    for head in (0, 1 << 20):
+        sums = {r.doc_id: (r.n_pieces, r.ids_sha256, r.round_trip) for r in document_pieces(docs.where("doc_id IS NULL"), head_units=head).collect()}
+        ids = model.encode("the same")
+        assert sums == {None: (len(ids), hashlib.sha256(np.array(ids, "<i4").tobytes()).hexdigest(), True)}
 
 
 def test_best_path_over_unigram_scores(spark):
@@ -56,7 +62,7 @@ def test_best_path_over_unigram_scores(spark):
     vocabulary = Vocabulary()
     pieces = {c: -rng.uniform(3, 6) for c in "abcd"} | {"".join(rng.choices("abcd", k=rng.randint(2, 4))): -rng.uniform(1, 9) for _ in range(60)}
     vocabulary.rows = [(p, i, s) for i, (p, s) in enumerate(pieces.items())]
-    vocabulary.longest = 4
+    vocabulary.longest, vocabulary.merges = 4, False
     units = sorted({"".join(rng.choices("abcde", k=rng.randint(1, 9))) for _ in range(80)})
     words = spark.createDataFrame([(u, 1) for u in units], "unit string, n long")
 
@@ -69,5 +75,5 @@ def test_best_path_over_unigram_scores(spark):
                     found[stop] = (found[start][0] + cost, [*found[start][1], start])
         return sum(1 << p for p in found[len(unit)][1]) | 1 << len(unit)
 
-    got = {r.unit: r.cuts for r in lattice(words, vocabulary, spark).withColumn("cuts", F.expr(VITERBI)).collect()}
+    got = {r.unit: r.cuts for r in lattice(words, vocabulary, spark).withColumn("cuts", F.expr(best_path(vocabulary))).collect()}
     assert got == {u: best(u) for u in units}
