@@ -1,7 +1,9 @@
 """The registered queries of this subpackage, and their SQL where SQL can express them."""
 
 from quadrangle.llm.decontaminate import CONTAMINATION_SQL, contamination
+from quadrangle.llm.interactions import INTERACTIONS_SQL, filter_interactions
 from quadrangle.llm.language import identify
+from quadrangle.llm.licenses import license_digests
 from quadrangle.llm.lines import LINE_DEDUP_SQL, line_dedup_digests
 from quadrangle.llm.minhash import near_duplicates
 from quadrangle.llm.neighbours import nearest
@@ -56,6 +58,14 @@ def op10_line_dedup(spark, sf_dir):
     return line_dedup_digests(table(spark, sf_dir, "documents"))
 
 
+def op12_license_scans(spark, sf_dir):
+    return license_digests(table(spark, sf_dir, "documents"))
+
+
+def op13_filter_interactions(spark, sf_dir):
+    return filter_interactions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
     "op1_sharding": op1_sharding,
     "op2_decontamination": op2_decontamination,
@@ -67,10 +77,13 @@ QUERIES = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_nearest_vectors": op9_nearest_vectors,
     "op10_line_dedup": op10_line_dedup,
+    "op12_license_scans": op12_license_scans,
+    "op13_filter_interactions": op13_filter_interactions,
 }
 
 ORACLES = {
     "op1_sharding": SHARDS_SQL,
     "op2_decontamination": CONTAMINATION_SQL,
     "op10_line_dedup": LINE_DEDUP_SQL,
+    "op13_filter_interactions": INTERACTIONS_SQL,
 }
