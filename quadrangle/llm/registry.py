@@ -9,6 +9,7 @@ from quadrangle.llm.minhash import near_duplicates
 from quadrangle.llm.neighbours import nearest
 from quadrangle.llm.sentencepieces import document_pieces
 from quadrangle.llm.sharding import SHARDS_SQL, document_shards
+from quadrangle.llm.spelling import spelling_variants
 from quadrangle.llm.substrings import drop_repeated_substrings
 from quadrangle.llm.tokencount import document_edits
 from quadrangle.llm.toxicity import toxicity
@@ -58,6 +59,10 @@ def op10_line_dedup(spark, sf_dir):
     return line_dedup_digests(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark, sf_dir):
+    return spelling_variants(table(spark, sf_dir, "documents"))
+
+
 def op12_license_scans(spark, sf_dir):
     return license_digests(table(spark, sf_dir, "documents"))
 
@@ -77,6 +82,7 @@ QUERIES = {
     "op8_sentencepiece": op8_sentencepiece,
     "op9_nearest_vectors": op9_nearest_vectors,
     "op10_line_dedup": op10_line_dedup,
+    "op11_spelling_variants": op11_spelling_variants,
     "op12_license_scans": op12_license_scans,
     "op13_filter_interactions": op13_filter_interactions,
 }
