@@ -81,6 +81,11 @@ def scratch_path(spark, name):
 def cut(df):
     """Write `df` to the shared folder and read it back, so that retries and later steps
     never replay the plan behind it and the planner knows its size."""
+    return cut_with_path(df)[0]
+
+
+def cut_with_path(df):
+    """`cut`, and where the rows lie."""
     path = scratch_path(df.sparkSession, "cut")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
