@@ -16,6 +16,7 @@ from quadrangle.session import cut, cut_with_path
 SLOT_BYTES = 128 * 1024 * 1024
 ROW_GROUP_BYTES = 16 * 1024 * 1024
 BROADCAST_SLOTS = 500_000
+BROADCAST_KEYS = 200_000
 LOOKUP_KEYS = 500
 
 
@@ -47,7 +48,7 @@ def upsert(batch, path, keys=("record_id",), order="business_timestamp", partiti
     order of the hash of their keys, and the keys have Bloom filters: a batch of at most
     `LOOKUP_KEYS` rows first asks for its keys, and what is stored already is not put again.
 
-    The batch is staged once. Spark swaps the rewritten folders in when the whole write has
+    The batch is worked out once, into a staged table. Spark swaps the rewritten folders in when the whole write has
     succeeded, folder by folder; after that the directory of slots is brought up to date
     and folders of split slots go. A crash in between leaves some folders new, and running
     the batch again completes it. Needs one writer per table at a time, and a committer
@@ -58,9 +59,8 @@ def upsert(batch, path, keys=("record_id",), order="business_timestamp", partiti
     names = [p for p in partitions if schema[p].dataType == StringType()]
     batch = batch.withColumns({p: F.nullif(F.col(p), F.lit("")) for p in names})
     scope = [*partitions, *keys]
-    rest = [F.col(c).asc() for c in batch.columns if c not in (*scope, order)]
-    newest = first_per_key(batch, scope, [F.col(order).desc(), *rest])
-    staged, staged_path = cut_with_path(newest.withColumn(HASH, F.xxhash64(*scope)))
+    staged, staged_path = cut_with_path(batch.withColumn(HASH, F.xxhash64(*scope)))
+    staged, staged_path = _one_per_key(staged, staged_path, scope, order)
     rows = staged.count()
     if not rows:
         return 0
@@ -82,7 +82,7 @@ def upsert(batch, path, keys=("record_id",), order="business_timestamp", partiti
     if version:
         stored = read_table(spark, path, with_slot(schema)).withColumn(HASH, F.xxhash64(*scope))
         near = _moved(touched_rows(stored, touched, partitions, small), touched, partitions, small)
-        merged = meet(near, staged, scope, "left_anti").unionByName(placed)
+        merged = meet(near, staged, scope, "left_anti", small=rows <= BROADCAST_KEYS).unionByName(placed)
     # less than one slot in all: what costs then is opening a file per folder
     tasks = min(folders, spark.sparkContext.defaultParallelism) if size < slot_bytes else None
     _write(merged, path, [*partitions, SLOT], keys, tasks)
@@ -90,6 +90,18 @@ def upsert(batch, path, keys=("record_id",), order="business_timestamp", partiti
     return rows
 
 
+def _one_per_key(staged, path, scope, order):
+    """The newest row per key, other columns settling ties, and where the rows lie.
+
+    Whole rows are shuffled for keys that occur more than once only."""
+    twice = cut(staged.groupBy(*scope).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(*scope))
+    if twice.isEmpty():
+        return staged, path
+    rest = [F.col(c).asc() for c in staged.columns if c not in (*scope, order, HASH)]
+    newest = first_per_key(meet(staged, twice, scope, "left_semi"), scope, [F.col(order).desc(), *rest])
+    return cut_with_path(meet(staged, twice, scope, "left_anti").unionByName(newest))
+
+
 def _first_depths(staged, partitions, row_bytes, slots, slot_bytes):
     """(partitions, depths): the one depth a new partition begins at."""
     start = (slots - 1).bit_length()
