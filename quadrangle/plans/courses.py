@@ -13,8 +13,9 @@ from quadrangle.constants import (
 from quadrangle.functions.text import any_of, record_key
 from quadrangle.operators.latest import first_per_key
 from quadrangle.operators.upsert import upsert
-from quadrangle.plans.profiles import resolved_folders
-from quadrangle.sources.raw import read_payloads
+from quadrangle.plans.profiles import quarantine, resolved_folders
+from quadrangle.session import cut
+from quadrangle.sources.raw import CORRUPT, readable, scan_payloads, unreadable
 
 
 def is_course(path):
@@ -89,13 +90,26 @@ def preview(courses, rows=20):
     )
 
 
-def run(spark, root, table_path, pairs, run_ts=None, multi_line=False):
+def run(spark, root, table_path, pairs, run_ts=None, multi_line=False, quarantine_path=None, catalogue=None):
     """Build and upsert the courses of all requested faculties.
 
-    Returns the raw rows, counted over keys alone, and the rows of the upserted batch."""
-    paths = [path for _, _, path in resolved_folders(spark, root, pairs)]
-    payloads = read_payloads(spark, paths, multi_line) if paths else None
-    if payloads is None or payloads.isEmpty():
-        return {"raw": 0, "clean": 0}
-    clean = upsert(course_catalog(payloads, run_ts if run_ts is not None else F.current_timestamp()), table_path)
-    return {"raw": row_counts(payloads).first().raw_rows, "clean": clean}
+    The raw JSON is read once, into a staged table that holds the texts of courses only.
+    Returns the raw rows and the rows of the upserted batch, and with `quarantine_path` the
+    records put there as not readable."""
+    run_ts = run_ts if run_ts is not None else F.current_timestamp()
+    counts = {"raw": 0, "clean": 0} | ({"unreadable": 0} if quarantine_path else {})
+    # folders go to the reader by name; there are no more of them than requests
+    paths = [row.path for row in resolved_folders(spark, root, pairs, catalogue=catalogue).collect()]
+    if not paths:
+        return counts
+    fields = schemas.PAYLOAD.names
+    scan = scan_payloads(spark, paths, multi_line)
+    needed = scan.withColumn("text", F.when(is_course(F.col("metadata.source_url")) | F.col(CORRUPT).isNotNull(), F.col("text")))
+    staged = cut(needed.select(*fields, "university", "faculty", CORRUPT, "object_path"))
+    if quarantine_path:
+        counts["unreadable"] = quarantine(unreadable(staged, fields), quarantine_path, run_ts)
+    payloads = readable(staged, fields)
+    counts["raw"] = payloads.count()
+    if counts["raw"]:
+        counts["clean"] = upsert(course_catalog(payloads, run_ts), table_path)
+    return counts

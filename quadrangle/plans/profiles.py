@@ -8,7 +8,9 @@ from quadrangle.functions.text import record_key
 from quadrangle.operators.latest import first_per_key
 from quadrangle.operators.resolve import resolve_universities
 from quadrangle.operators.upsert import upsert
-from quadrangle.sources.raw import read_authors, stored_partitions
+from quadrangle.session import cut
+from quadrangle.sources.catalogue import partitions
+from quadrangle.sources.raw import CORRUPT, readable, scan_authors, stored_partitions, unreadable
 
 
 def faculty_profiles(authors, run_ts):
@@ -66,24 +68,41 @@ def preview(profiles, rows=10):
     )
 
 
-def resolved_folders(spark, root, pairs, subfolder=""):
-    """(university, faculty, path) of each requested (hint, faculty) that is stored."""
-    stored = stored_partitions(spark, root, subfolder)
+def resolved_folders(spark, root, pairs, subfolder="", catalogue=None):
+    """(university, faculty, path) of each requested (hint, faculty) that is stored.
+
+    `catalogue`: the table of objects to ask (see `sources.catalogue`); without one the
+    folders are looked up in the bucket."""
+    stored = partitions(spark, catalogue, root, subfolder) if catalogue else stored_partitions(spark, root, subfolder)
     requested = spark.createDataFrame(pairs, "hint string, faculty string")
     resolved = resolve_universities(requested, stored).select("university", "faculty").distinct()
-    rows = resolved.join(stored, ["university", "faculty"]).collect()
-    return [tuple(row) for row in rows]
+    return cut(resolved.join(stored, ["university", "faculty"]).select("university", "faculty", "path"))
+
 
+def quarantine(rows, path, run_ts):
+    """Keep records that could not be read, each once; returns how many there were."""
+    keyed = rows.select(
+        record_key(F.col("object_path"), F.col("record")).alias("record_id"), "object_path", "record", "reason",
+        "university", "faculty", run_ts.alias("found_at"),
+    )
+    return upsert(keyed, path, order="found_at")
 
-def run(spark, root, table_path, pairs, run_ts=None, multi_line=False):
+
+def run(spark, root, table_path, pairs, run_ts=None, multi_line=False, quarantine_path=None, catalogue=None):
     """Build and upsert the profiles of all requested faculties in one go.
 
-    Returns the raw rows, counted over keys alone, and the rows of the upserted batch.
-    """
-    folders = resolved_folders(spark, root, pairs, "type=authors")
-    found = [(university, faculty) for university, faculty, _ in folders]
-    authors = read_authors(spark, root, found, multi_line) if found else None
-    if authors is None or authors.isEmpty():
-        return {"raw": 0, "clean": 0}
-    clean = upsert(faculty_profiles(authors, run_ts if run_ts is not None else F.current_timestamp()), table_path)
-    return {"raw": row_counts(authors).first().raw_rows, "clean": clean}
+    The raw JSON is read once, into a staged table; counts are those of staged rows, so
+    that a task that ran again adds nothing. Returns the raw rows and the rows of the
+    upserted batch, and with `quarantine_path` the records put there as not readable."""
+    run_ts = run_ts if run_ts is not None else F.current_timestamp()
+    folders = resolved_folders(spark, root, pairs, "type=authors", catalogue)
+    columns = [*schemas.AUTHOR.names, "university", "faculty"]
+    staged = cut(scan_authors(spark, root, folders, multi_line).select(*columns, CORRUPT, "object_path"))
+    counts = {"raw": 0, "clean": 0}
+    if quarantine_path:
+        counts["unreadable"] = quarantine(unreadable(staged, schemas.AUTHOR.names), quarantine_path, run_ts)
+    authors = readable(staged, schemas.AUTHOR.names).dropna("all", subset=schemas.AUTHOR.names)
+    counts["raw"] = authors.count()
+    if counts["raw"]:
+        counts["clean"] = upsert(faculty_profiles(authors, run_ts), table_path)
+    return counts

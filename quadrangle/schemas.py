@@ -71,6 +71,14 @@ SEARCH_DOCUMENT = _struct(
     source_url=S, depth_level=I, crawl_timestamp=T, content_checksum=S, storage_path=S,
 )
 
+OBJECT = _struct(path=S, length=L, modified=T, university=S, faculty=S)
+
+MARK = _struct(job=S, mark=L)
+
+UNREADABLE = _struct(
+    record_id=S, object_path=S, record=S, reason=S, university=S, faculty=S, found_at=T,
+)
+
 # Reporting names of the curated tables.
 PROFILE_REPORT = _struct(
     record_id=S, name=S, orcid=S, publications_count=L, citations_count=L,

@@ -193,3 +193,14 @@ def test_resolve(spark):
         ("hassan2", "F9"): ("hassan2", False),
     }
     assert len(got) == 5
+
+
+@pytest.mark.parametrize("span", [1, 7, 1024])
+def test_pages_of_a_long_document_meet_in_ranges(spark, span):
+    """A third of all pages in one document: no task joins more than a range of them, same text."""
+    rows = [("hot", n, f"p{n}" if n % 5 else "") for n in range(3000)] + [(f"d{n}", n % 4, f"x{n} ") for n in range(600)]
+    df = spark.createDataFrame(rows, "path string, page_no long, text string").repartition(6)
+    got = {r.path: r.text for r in join_pages(df, ["path"], span=span).collect()}
+    assert got["hot"] == "\n".join(f"p{n}" for n in range(3000) if n % 5) and len(got) == 601
+    plan = join_pages(df, ["path"], span=span)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(path" in plan and "_range" in plan

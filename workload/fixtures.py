@@ -2,7 +2,9 @@
 
 from pyspark.sql import functions as F
 
+from quadrangle.functions.text import slug
 from quadrangle.functions.urls import netloc
+from quadrangle.session import scratch_path
 
 DAY_ONE = "2024-06-01 08:30:00"
 DAY_TWO = "2024-06-02 09:45:10.000250"
@@ -314,3 +316,82 @@ def later_html_objects(spark, sf_dir):
     """A second crawl of all pages, changed; those with a fragment got a new name."""
     changed = table(spark, sf_dir, "pages").withColumn("html", F.concat(F.lit("<!-- v2 -->"), "html"))
     return _html_object(changed, F.substring_index("url", "#", 1))
+
+
+PAGES_PER_OBJECT = 100
+
+
+def site_objects(spark, sf_dir, day):
+    """HTML objects of up to `PAGES_PER_OBJECT` pages, as stored on one day; on the second
+    day every third is stored again, changed."""
+    blocks = table(spark, sf_dir, "pages").select("page_id", "url", "html", F.floor(F.col("page_id") / PAGES_PER_OBJECT).alias("block"))
+    host = F.substring_index(netloc(F.col("url")), ".", -1)
+    lang = F.regexp_extract("url", r"^[a-z]+://[^/]+/([a-z]+)/", 1)
+    grouped = blocks.groupBy(host.alias("university"), lang.alias("faculty"), "block").agg(
+        F.expr(r"listagg(html, '\n') WITHIN GROUP (ORDER BY page_id)").alias("html")
+    )
+    url = F.concat(F.lit("https://h/"), "university", F.lit("/"), "faculty", F.lit("/"), F.col("block").cast("string"))
+    name = F.concat(
+        F.lit("university="), "university", F.lit("/faculty="), "faculty", F.lit(f"/year=2024/month=06/day=0{day}/"),
+        F.md5("url"), F.lit(".html"),
+    )
+    stored = grouped.withColumn("url", url).withColumn("object_name", name)
+    if day == 2:
+        stored = stored.where("block % 3 = 0").withColumn("html", F.concat(F.lit("<!-- v2 -->"), "html"))
+    return stored
+
+
+def site_sidecars(objects, day):
+    """the sidecar of each object, as JSON; some have none."""
+    quoted = lambda name, value: F.concat(F.lit(f'"{name}": "'), value, F.lit('"'))
+    body = F.concat(
+        F.lit("{\n "), quoted("source_url", F.col("url")), F.lit(", "), quoted("university", F.col("university")), F.lit(", "),
+        quoted("faculty", F.col("faculty")), F.lit(',\n "depth_level": '), F.col("block").cast("string"),
+        F.lit(f', "file_type": "html", "crawl_timestamp": "2024-06-0{day}T08:30:00", '),
+        quoted("content_checksum", F.md5("html")), F.lit(", "), quoted("storage_path", F.concat(F.lit("s3://raw-web-html/"), "object_name")), F.lit("}"),
+    )
+    return objects.where("block % 3 <> 1 OR faculty <> 'es'").select(F.concat("object_name", F.lit(".meta.json")).alias("object_name"), body.alias("content"))
+
+
+def put_objects(spark, objects, root):
+    """Store each row of (object_name, content) as one object; its last byte is a line end."""
+    staging = scratch_path(spark, "objects")
+    objects.select(F.col("content").alias("value"), "object_name").repartition("object_name").write.partitionBy("object_name").text(staging)
+    jvm = spark._jvm
+    new = jvm.org.apache.hadoop.fs.Path
+    folder = new(staging)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    plain = jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.unescapePathName
+    for status in fs.listStatus(folder):
+        name = status.getPath().getName()
+        if not name.startswith("object_name="):
+            continue
+        target = new(f"{root}/{plain(name.split('=', 1)[1])}")
+        fs.mkdirs(target.getParent())
+        part = next(s.getPath() for s in fs.listStatus(status.getPath()) if s.getPath().getName().startswith("part-"))
+        fs.rename(part, target)
+
+
+def store_site(spark, sf_dir, root, day):
+    """Put the objects of one day and their sidecars."""
+    objects = site_objects(spark, sf_dir, day)
+    put_objects(spark, objects.select("object_name", F.col("html").alias("content")), root)
+    put_objects(spark, site_sidecars(objects, day), root)
+
+
+def author_lines(spark, sf_dir):
+    """authors as lines of JSON, some cut short, some no JSON, some with a word for a number."""
+    people = _with_region(table(spark, sf_dir, "customer"), "c_nationkey", spark, sf_dir)
+    key = F.col("c_custkey").cast("string")
+    kind = _mod("c_custkey", 10)
+    works = F.when(kind == 5, F.lit('"many"')).otherwise(_mod("c_custkey", 97).cast("string"))
+    line = F.concat(F.lit('{"id":"A'), key, F.lit('","display_name":"'), "c_name", F.lit('","works_count":'), works, F.lit("}"))
+    spoilt = F.when(kind == 3, F.substring(line, 1, 20)).when(kind == 7, F.concat(F.lit("not json "), key)).otherwise(line)
+    return people.select(spoilt.alias("line"), slug(F.col("r_name")).alias("university"), F.col("c_mktsegment").alias("faculty"))
+
+
+def store_author_lines(spark, sf_dir, root):
+    """Put F11 below university, faculty, type, day and batch."""
+    folders = {"type": "authors", "year": "2024", "month": "06", "day": "01", "batch": "b1"}
+    rows = author_lines(spark, sf_dir).select(F.col("line").alias("value"), "university", "faculty", *[F.lit(v).alias(k) for k, v in folders.items()])
+    rows.repartition("university", "faculty").write.partitionBy("university", "faculty", *folders).text(root)

@@ -265,6 +265,29 @@ _RESOLVE = """
     SELECT asked.hint, asked.faculty, coalesce(name, asked.hint) AS university, name IS NOT NULL AS found
     FROM asked LEFT JOIN hit ON asked.hint = hit.hint AND asked.faculty = hit.faculty"""
 
+_SITE_DAY = """
+    SELECT university, faculty, block, 'https://h/' || university || '/' || faculty || '/' || block AS url, body,
+           {day} AS day
+    FROM (SELECT university, faculty, block, string_agg(html, chr(10) ORDER BY page_id) AS body
+          FROM (SELECT page_id, html, page_id // 100 AS block,
+                       regexp_extract(url, '^[a-z]+://[^/?#]*[.]([a-z]+)/', 1) AS university,
+                       regexp_extract(url, '^[a-z]+://[^/]+/([a-z]+)/', 1) AS faculty
+                FROM pages)
+          GROUP BY university, faculty, block)"""
+
+_SITE = f"""
+    SELECT *, 'university=' || university || '/faculty=' || faculty || '/year=2024/month=06/day=0' || day || '/' ||
+              md5(url) || '.html' AS name
+    FROM ({_SITE_DAY.format(day=1)}
+          UNION ALL SELECT * REPLACE ('<!-- v2 -->' || body AS body) FROM ({_SITE_DAY.format(day=2)}) WHERE block % 3 = 0)"""
+
+_LINES = """
+    SELECT CASE c_custkey % 10 WHEN 3 THEN line[1:20] WHEN 7 THEN 'not json ' || c_custkey ELSE line END AS record, *
+    FROM (SELECT c_custkey, c_name, replace(lower(r_name), ' ', '_') AS university, c_mktsegment AS faculty,
+                 '{"id":"A' || c_custkey || '","display_name":"' || c_name || '","works_count":' ||
+                     CASE WHEN c_custkey % 10 = 5 THEN '"many"' ELSE CAST(c_custkey % 97 AS VARCHAR) END || '}' AS line
+          FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"""
+
 ORACLES = {
     "author_normalize": _PROFILES,
     "report_staff_per_faculty": f"SELECT faculty, count(*) AS nb_profs FROM ({_PROFILES}) GROUP BY faculty",
@@ -377,10 +400,47 @@ ORACLES = {
     "payload_scan_roundtrip": f"""
         SELECT source_path, source_url, content_checksum, text, source AS university, lang AS faculty
         FROM ({_PAYLOAD_ROWS})""",
-    "object_listing": f"""
+    "payload_folders": f"""
         SELECT DISTINCT source AS university, lang AS faculty,
                'university=' || source || '/faculty=' || lang || '/batch=20240602_094510000250' AS folder
         FROM ({_PAYLOAD_ROWS})""",
+    "object_listing": f"SELECT name AS path, CAST(strlen(body) + 1 AS BIGINT) AS length, university, faculty FROM ({_SITE})",
+    "object_catalogue": f"""
+        SELECT university, faculty, name AS path, CAST(strlen(body) + 1 AS BIGINT) AS length FROM ({_SITE}) s
+        WHERE faculty <> 'en' AND EXISTS (
+            SELECT 1 FROM ({_SITE}) d WHERE d.day = 2 AND d.university = s.university AND d.faculty = s.faculty)""",
+    "html_scan": f"""
+        SELECT university, faculty, name AS object_name, length(body) + 1 AS n_chars, md5(body || chr(10)) AS checksum
+        FROM ({_SITE})""",
+    "sidecar_scan": f"""
+        SELECT name AS object_path, url AS source_url, university, faculty, CAST(block AS INTEGER) AS depth_level,
+               'html' AS file_type, '2024-06-0' || day || 'T08:30:00' AS crawl_timestamp,
+               md5(body) AS content_checksum, 's3://raw-web-html/' || name AS storage_path
+        FROM ({_SITE}) WHERE (block % 3 <> 1 OR faculty <> 'es')""",
+    "stored_pages": f"""
+        SELECT url, md5(body || chr(10)) AS checksum FROM ({_SITE}) WHERE (block % 3 <> 1 OR faculty <> 'es')
+        QUALIFY row_number() OVER (PARTITION BY url ORDER BY day DESC) = 1""",
+    "job_search": f"""
+        SELECT md5(name) AS record_id, body || chr(10) AS content, university, faculty, 'html' AS file_type,
+               's3://raw-web-html/' || name AS storage_path
+        FROM ({_SITE})""",
+    "search_preview": f"SELECT md5(name) AS record_id, body[1:10000] AS preview, length(body) AS n_chars FROM ({_SITE}) WHERE day = 1",
+    "scan_quarantine": f"""
+        SELECT record, CASE c_custkey % 10 WHEN 5 THEN 'partly read' ELSE 'unreadable' END AS reason, university, faculty
+        FROM ({_LINES}) WHERE c_custkey % 10 IN (3, 5, 7)""",
+    "scan_readable": f"""
+        SELECT 'A' || c_custkey AS id, c_name AS display_name,
+               CASE WHEN c_custkey % 10 <> 5 THEN CAST(c_custkey % 97 AS BIGINT) END AS works_count, university, faculty
+        FROM ({_LINES}) WHERE c_custkey % 10 NOT IN (3, 7)""",
+    "job_empty": """
+        SELECT job, CAST(0 AS BIGINT) AS raw_rows, CAST(0 AS BIGINT) AS clean_rows, CAST(0 AS BIGINT) AS stored_rows
+        FROM (VALUES ('faculty_profiles'), ('course_catalog')) t(job)""",
+    "reports_from_tables": f"""
+        WITH p AS ({_upserted(_PROFILES, _LATER_PROFILES)})
+        SELECT 'staff_per_faculty' AS report, faculty AS name, count(*) AS value FROM p GROUP BY faculty
+        UNION ALL SELECT 'courses_per_level', NULL, count(*) FROM ({_COURSES})
+        UNION ALL SELECT 'staff_per_university', university, count(*) FROM p GROUP BY university
+        UNION ALL SELECT 'publications_per_university', university, CAST(sum(works_count) AS BIGINT) FROM p GROUP BY university""",
     "log_rows": f"""
         SELECT * EXCLUDE (ts, body), 'university=' || university || '/faculty=' || faculty ||
                    strftime(ts, '/year=%Y/month=%m/day=%d/log_') || md5(body)[1:8] || '.json' AS object_path

@@ -17,7 +17,10 @@ from quadrangle.plans import courses, crawl, landing, logs, payloads, profiles,
 from quadrangle.session import cut, scratch_path
 from quadrangle.sinks.files import land_json
 from quadrangle.sinks.tables import append_to_table, create_tables
-from quadrangle.sources.raw import list_objects, read_authors, read_payloads
+from quadrangle.sources import catalogue
+from quadrangle.sources.raw import (
+    list_objects, read_authors, read_html_objects, read_payloads, read_sidecars, read_stored_pages,
+)
 from workload import fixtures as fx
 
 
@@ -288,13 +291,118 @@ def payload_scan_roundtrip(spark, sf_dir):
     )
 
 
-def object_listing(spark, sf_dir):
+def payload_folders(spark, sf_dir):
     root = scratch_path(spark, "payloads")
     payloads.write(_payloads(spark, sf_dir), root)
     folder = F.regexp_replace("path", "/[^/]*$", "").alias("folder")
     return list_objects(spark, root).where("length > 0").select("university", "faculty", folder).distinct()
 
 
+def _site(spark, sf_dir, days=(1, 2)):
+    root = scratch_path(spark, "raw-web-html")
+    for day in days:
+        fx.store_site(spark, sf_dir, root, day)
+    return root
+
+
+def object_listing(spark, sf_dir):
+    """Path and length of stored objects; the sidecars among them are no objects."""
+    return list_objects(spark, _site(spark, sf_dir))
+
+
+def object_catalogue(spark, sf_dir):
+    """The table of objects after two refreshes, for the folders of one university's pairs."""
+    root, path = scratch_path(spark, "raw-web-html"), scratch_path(spark, "catalogue")
+    for day in (1, 2):
+        fx.store_site(spark, sf_dir, root, day)
+        catalogue.refresh(spark, root, path)
+    pairs = fx.site_objects(spark, sf_dir, 2).select("university", "faculty").where("faculty <> 'en'")
+    return catalogue.objects(spark, path, pairs).select("university", "faculty", "path", "length")
+
+
+def html_scan(spark, sf_dir):
+    objects = read_html_objects(spark, _site(spark, sf_dir))
+    return objects.select("university", "faculty", "object_name", F.length("html").cast("bigint").alias("n_chars"), F.md5("html").alias("checksum"))
+
+
+def sidecar_scan(spark, sf_dir):
+    """Sidecars read from storage, where they lie among the objects."""
+    return read_sidecars(spark, _site(spark, sf_dir))
+
+
+def stored_pages(spark, sf_dir):
+    """The newest stored copy of every page that has a sidecar."""
+    newest = crawl.newest_pages(read_stored_pages(spark, _site(spark, sf_dir)))
+    return newest.select("url", F.md5("html").alias("checksum"))
+
+
+def job_search(spark, sf_dir):
+    """Stored HTML objects put as search documents, day by day; each run reads what is new."""
+    root, path, progress = (scratch_path(spark, name) for name in ("raw-web-html", "university_content", "progress"))
+    for day, stamp in ((1, fx.DAY_ONE), (2, fx.DAY_TWO)):
+        fx.store_site(spark, sf_dir, root, day)
+        search.run(spark, root, path, fx.instant(stamp), progress=progress)
+    return read_table(spark, path, schemas.SEARCH_DOCUMENT).select("record_id", "content", "university", "faculty", "file_type", "storage_path")
+
+
+def search_preview(spark, sf_dir):
+    """The first 10,000 characters beside the length of the whole text."""
+    objects = fx.site_objects(spark, sf_dir, 1)
+    short = search.search_documents(objects, fx.instant(), content_chars=10_000).select("record_id", F.col("content").alias("preview"))
+    whole = search.search_documents(objects, fx.instant()).select("record_id", F.length("content").cast("bigint").alias("n_chars"))
+    return short.join(whole, "record_id")
+
+
+def scan_quarantine(spark, sf_dir):
+    """What the profile job puts aside: records it could not read, or not in every field."""
+    root, path, aside = (scratch_path(spark, name) for name in ("raw-json", "faculty_profiles", "quarantine"))
+    fx.store_author_lines(spark, sf_dir, root)
+    pairs = [tuple(r) for r in fx.author_lines(spark, sf_dir).select("university", "faculty").distinct().collect()]
+    for _ in range(2):
+        profiles.run(spark, root, path, pairs, fx.instant(), quarantine_path=aside)
+    return read_table(spark, aside, schemas.UNREADABLE).select("record", "reason", "university", "faculty")
+
+
+def scan_readable(spark, sf_dir):
+    """What is read beside the records put aside."""
+    root = scratch_path(spark, "raw-json")
+    fx.store_author_lines(spark, sf_dir, root)
+    return read_authors(spark, root).select("id", "display_name", "works_count", "university", "faculty")
+
+
+def job_empty(spark, sf_dir):
+    """The two jobs over folders that are not stored: nothing read, nothing written."""
+    root, path = scratch_path(spark, "raw-json"), scratch_path(spark, "never-written")
+    landing.land(fx.authors(spark, sf_dir), schemas.AUTHOR.names, root, "authors", fx.instant())
+    pairs = [tuple(r) for r in fx.authors(spark, sf_dir).select("university", F.concat(F.lit("no "), "faculty").alias("f")).distinct().collect()]
+    rows = None
+    for job, run in (("faculty_profiles", profiles.run), ("course_catalog", courses.run)):
+        counts = run(spark, root, path, pairs, fx.instant())
+        stored = read_table(spark, path, schemas.PROFILE).agg(F.count(F.lit(1)).alias("stored_rows"))
+        one = stored.select(F.lit(job).alias("job"), F.lit(counts["raw"]).cast("bigint").alias("raw_rows"), F.lit(counts["clean"]).cast("bigint").alias("clean_rows"), "stored_rows")
+        rows = one if rows is None else rows.union(one)
+    return rows
+
+
+def reports_from_tables(spark, sf_dir):
+    """The four reports over the tables that upserts keep, after a second batch."""
+    database = f"university_db_{uuid.uuid4().hex}"
+    paths = {name: scratch_path(spark, name) for name in ("faculty_profiles", "course_catalog")}
+    upsert(_profiles(spark, sf_dir), paths["faculty_profiles"])
+    upsert(_courses(spark, sf_dir), paths["course_catalog"])
+    reports.declare_tables(spark, paths, database)
+    upsert(profiles.faculty_profiles(fx.later_authors(spark, sf_dir), fx.instant(fx.DAY_TWO)), paths["faculty_profiles"])
+    reports.refresh_tables(spark, paths, database)
+    rows = None
+    for name, report in reports.run(spark, database).items():
+        key, value = report.columns
+        one = report.select(F.lit(name).alias("report"), F.col(key).alias("name"), F.col(value).cast("bigint").alias("value"))
+        rows = one if rows is None else rows.union(one)
+    kept = cut(rows)
+    spark.sql(f"DROP DATABASE `{database}` CASCADE")
+    return kept
+
+
 def log_rows(spark, sf_dir):
     return logs.log_rows(fx.log_entries(spark, sf_dir))
 
@@ -414,7 +522,18 @@ QUERIES = {
     "extraction_payload": extraction_payload,
     "extraction_stats": extraction_stats,
     "payload_scan_roundtrip": payload_scan_roundtrip,
+    "payload_folders": payload_folders,
     "object_listing": object_listing,
+    "object_catalogue": object_catalogue,
+    "html_scan": html_scan,
+    "sidecar_scan": sidecar_scan,
+    "stored_pages": stored_pages,
+    "job_search": job_search,
+    "search_preview": search_preview,
+    "scan_quarantine": scan_quarantine,
+    "scan_readable": scan_readable,
+    "job_empty": job_empty,
+    "reports_from_tables": reports_from_tables,
     "log_rows": log_rows,
     "log_roundtrip": log_roundtrip,
     "search_docs": search_docs,
