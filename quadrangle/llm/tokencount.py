@@ -9,6 +9,7 @@ read once and sent to every task.
 """
 
 import base64
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +21,8 @@ from quadrangle.session import cut
 
 RANKS = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# the blanks `\s` stands for in the pattern
+LONG_BLANKS = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{10000,}")
 LEAF_CHARS = 256
 GROWN = 16
 
@@ -157,9 +160,23 @@ class Counted:
             setattr(self, name, SumTree.over(np.r_[old[:low], new, old[high + 1 :]]))
 
 
+def count_tokens(own, text):
+    """Tokens of a text, long runs of blanks encoded apart.
+
+    The pattern makes one pre-token of a run of blanks, less its last one where more text
+    follows; its matcher cannot take runs of about a million, so they are cut out here."""
+    total, begin = 0, 0
+    for run in LONG_BLANKS.finditer(text):
+        stop = run.end() - (run.end() < len(text))
+        total += len(own.encode_ordinary(text[begin : run.start()]))
+        total += len(own._encode_single_piece(text[run.start() : stop].encode()))
+        begin = stop
+    return total + len(own.encode_ordinary(text[begin:]))
+
+
 def _counter(ranks):
     own = encoding("ranks", ranks.value)
-    return lambda text: len(own.encode_ordinary(text))
+    return lambda text: count_tokens(own, text)
 
 
 def _built(batches, ranks):
@@ -209,7 +226,8 @@ def _ranks(spark, path):
 def build_trees(docs, path=RANKS):
     """(doc_id, text, chars, tokens, edits): the trees of every row's whole text.
 
-    `chars` and `tokens` are `SumTree` arrays. A null text is the empty text, whose trees
+    `chars` and `tokens` are `SumTree` arrays. Texts may be of any length, and so may words
+    and runs of blanks in them; a stretch without a place to cut is one leaf. A null text is the empty text, whose trees
     hold one empty leaf. A column `edits` of type `EDITS` is passed on, else it is null."""
     ranks = _ranks(docs.sparkSession, path)
     edits = F.col("edits") if "edits" in docs.columns else F.lit(None)

@@ -78,3 +78,18 @@ def test_edges(spark, count):
     assert (plain.n_before, plain.n_tokens, plain.n_reencoded) == (0, 0, 0)
     odd = spark.createDataFrame([(2, "abc", [(None, None, 9, None), (1, 99, 1, "d")])], f"doc_id long, text string, edits {EDITS}")
     assert apply_edits(build_trees(odd)).first().text == ""
+
+
+def test_very_long_runs_of_blanks(spark, count):
+    from quadrangle.llm.tokencount import RANKS, count_tokens, encoding, read_ranks
+
+    own = encoding("ranks", read_ranks(RANKS))
+    blanks = [" ", "\n", "\t\n ", "\u00a0 ", "\r\n"]
+    for one in blanks:
+        for before, after in (("", ""), ("a", "b"), ("x.", " ?"), ("1", "\x1c"), ("é", "7")):
+            text = before + one * 12_000 + after + " word" + one * 10_001
+            assert count_tokens(own, text) == count(text)
+    rows = [(1, " " * 1_500_000), (2, "a" + "\n" * 1_500_000 + "b"), (3, "\r\n \t" * 400_000)]
+    docs = spark.createDataFrame([(*r, "s") for r in rows], "doc_id long, text string, source string")
+    got = {r.doc_id: r.n_before for r in document_edits(docs).collect()}
+    assert got == {d: count_tokens(own, t) for d, t in rows}
