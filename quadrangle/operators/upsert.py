@@ -11,7 +11,7 @@ from quadrangle.operators.latest import first_per_key
 from quadrangle.operators.slots import (
     HASH, SLOT, Directory, delete_folders, depth_of, levels, meet, slot_at, stored_bytes,
 )
-from quadrangle.session import cut, cut_with_path
+from quadrangle.session import COMPRESSION, cut, cut_with_path, discard
 
 SLOT_BYTES = 128 * 1024 * 1024
 ROW_GROUP_BYTES = 16 * 1024 * 1024
@@ -62,8 +62,14 @@ def upsert(batch, path, keys=("record_id",), order="business_timestamp", partiti
     staged, staged_path = cut_with_path(batch.withColumn(HASH, F.xxhash64(*scope)))
     staged, staged_path = _one_per_key(staged, staged_path, scope, order)
     rows = staged.count()
-    if not rows:
-        return 0
+    if rows:
+        _put(spark, path, schema, staged, staged_path, rows, scope, keys, partitions, slots, slot_bytes)
+    discard(spark, staged_path)
+    return rows
+
+
+def _put(spark, path, schema, staged, staged_path, rows, scope, keys, partitions, slots, slot_bytes):
+    """Bring the staged rows, one per key, into the table."""
     directory = Directory(spark, path, schema, partitions)
     version = directory.version()
     if version:
@@ -71,7 +77,7 @@ def upsert(batch, path, keys=("record_id",), order="business_timestamp", partiti
         if rows <= LOOKUP_KEYS:
             staged = cut(_changed(spark, path, schema, staged, scope, keys))
             if staged.isEmpty():
-                return rows
+                return
     row_bytes = max(1.0, stored_bytes(spark, staged_path) / rows)
     depths = _depths(staged, directory, row_bytes, slots, slot_bytes) if version else _first_depths(staged, partitions, row_bytes, slots, slot_bytes)
     touched = _touched(spark, path, schema, staged, depths, directory, scope, row_bytes, slot_bytes)
@@ -87,7 +93,6 @@ def upsert(batch, path, keys=("record_id",), order="business_timestamp", partiti
     tasks = min(folders, spark.sparkContext.defaultParallelism) if size < slot_bytes else None
     _write(merged, path, [*partitions, SLOT], keys, tasks)
     _settle(spark, path, schema, touched, depths, directory, version + 1, small)
-    return rows
 
 
 def _one_per_key(staged, path, scope, order):
@@ -99,7 +104,9 @@ def _one_per_key(staged, path, scope, order):
         return staged, path
     rest = [F.col(c).asc() for c in staged.columns if c not in (*scope, order, HASH)]
     newest = first_per_key(meet(staged, twice, scope, "left_semi"), scope, [F.col(order).desc(), *rest])
-    return cut_with_path(meet(staged, twice, scope, "left_anti").unionByName(newest))
+    single, single_path = cut_with_path(meet(staged, twice, scope, "left_anti").unionByName(newest))
+    discard(staged.sparkSession, path)
+    return single, single_path
 
 
 def _first_depths(staged, partitions, row_bytes, slots, slot_bytes):
@@ -179,7 +186,8 @@ def _write(merged, path, folders, keys, tasks=None):
         out = out.option(f"parquet.bloom.filter.enabled#{key}", "true")
         out = out.option(f"parquet.bloom.filter.candidates.number#{key}", "12")  # down to 512 bytes
     (
-        out.option("parquet.bloom.filter.adaptive.enabled", "true")
+        out.option("compression", COMPRESSION)
+        .option("parquet.bloom.filter.adaptive.enabled", "true")
         .option("parquet.block.size", str(ROW_GROUP_BYTES))
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*folders)

@@ -8,6 +8,7 @@ import zipfile
 from pyspark.sql import SparkSession
 
 
+COMPRESSION = "zstd"
 PARTITION_BYTES = 512 * 1024 * 1024
 MAX_PARTITIONS = 100_000
 
@@ -78,6 +79,14 @@ def scratch_path(spark, name):
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def discard(spark, *paths):
+    """Delete intermediate data that nothing will read again."""
+    context = spark.sparkContext
+    for path in paths:
+        folder = context._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def cut(df):
     """Write `df` to the shared folder and read it back, so that retries and later steps
     never replay the plan behind it and the planner knows its size."""
@@ -87,5 +96,5 @@ def cut(df):
 def cut_with_path(df):
     """`cut`, and where the rows lie."""
     path = scratch_path(df.sparkSession, "cut")
-    df.write.parquet(path)
+    df.write.option("compression", COMPRESSION).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
