@@ -318,13 +318,13 @@ def later_html_objects(spark, sf_dir):
     return _html_object(changed, F.substring_index("url", "#", 1))
 
 
-PAGES_PER_OBJECT = 100
+OBJECTS_PER_FOLDER = 16
 
 
 def site_objects(spark, sf_dir, day):
-    """HTML objects of up to `PAGES_PER_OBJECT` pages, as stored on one day; on the second
-    day every third is stored again, changed."""
-    blocks = table(spark, sf_dir, "pages").select("page_id", "url", "html", F.floor(F.col("page_id") / PAGES_PER_OBJECT).alias("block"))
+    """HTML objects of several pages each, as stored on one day; on the second day every
+    third is stored again, changed."""
+    blocks = table(spark, sf_dir, "pages").select("page_id", "url", "html", _mod("page_id", OBJECTS_PER_FOLDER).alias("block"))
     host = F.substring_index(netloc(F.col("url")), ".", -1)
     lang = F.regexp_extract("url", r"^[a-z]+://[^/]+/([a-z]+)/", 1)
     grouped = blocks.groupBy(host.alias("university"), lang.alias("faculty"), "block").agg(
@@ -356,7 +356,7 @@ def site_sidecars(objects, day):
 def put_objects(spark, objects, root):
     """Store each row of (object_name, content) as one object; its last byte is a line end."""
     staging = scratch_path(spark, "objects")
-    objects.select(F.col("content").alias("value"), "object_name").repartition("object_name").write.partitionBy("object_name").text(staging)
+    objects.select(F.col("content").alias("value"), "object_name").repartition(16, "object_name").write.partitionBy("object_name").text(staging)
     jvm = spark._jvm
     new = jvm.org.apache.hadoop.fs.Path
     folder = new(staging)

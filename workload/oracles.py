@@ -269,7 +269,7 @@ _SITE_DAY = """
     SELECT university, faculty, block, 'https://h/' || university || '/' || faculty || '/' || block AS url, body,
            {day} AS day
     FROM (SELECT university, faculty, block, string_agg(html, chr(10) ORDER BY page_id) AS body
-          FROM (SELECT page_id, html, page_id // 100 AS block,
+          FROM (SELECT page_id, html, page_id % 16 AS block,
                        regexp_extract(url, '^[a-z]+://[^/?#]*[.]([a-z]+)/', 1) AS university,
                        regexp_extract(url, '^[a-z]+://[^/]+/([a-z]+)/', 1) AS faculty
                 FROM pages)
@@ -449,6 +449,7 @@ ORACLES = {
                      '", "faculty": "' || faculty || '", "source": "' || source || '"}}' AS body
               FROM ({_LOG}))""",
     "log_roundtrip": f"SELECT * EXCLUDE (ts) FROM ({_LOG})",
+    "log_compaction": f"SELECT * EXCLUDE (ts) FROM ({_LOG})",
     "search_docs": _SEARCH,
     "lossy_decode": """
         SELECT doc_id, length(full_text) AS n_chars, md5(full_text) AS checksum

@@ -15,6 +15,7 @@ from quadrangle.operators.resolve import resolve_universities
 from quadrangle.operators.upsert import read_table, upsert
 from quadrangle.plans import courses, crawl, landing, logs, payloads, profiles, reports, search
 from quadrangle.session import cut, scratch_path
+from quadrangle.sinks.compact import compact
 from quadrangle.sinks.files import land_json
 from quadrangle.sinks.tables import append_to_table, create_tables
 from quadrangle.sources import catalogue
@@ -413,6 +414,16 @@ def log_roundtrip(spark, sf_dir):
     return spark.read.schema(schemas.LOG).option("recursiveFileLookup", "true").json(root)
 
 
+def log_compaction(spark, sf_dir):
+    """Log rows landed in four batches, three of them merged: the same rows."""
+    root, sidecars = scratch_path(spark, "logs"), scratch_path(spark, "logs-meta")
+    rows = logs.log_rows(fx.log_entries(spark, sf_dir)).withColumn("part", F.pmod(F.crc32("object_path"), F.lit(4)))
+    for part in range(4):
+        logs.write(rows.where(F.col("part") == part).drop("part"), root, sidecars, f"b{part}")
+    compact(spark, root, "b3")
+    return spark.read.schema(schemas.LOG).option("recursiveFileLookup", "true").json(f"{root}/university=*")
+
+
 def search_docs(spark, sf_dir):
     return _naive(search.search_documents(fx.html_objects(spark, sf_dir), fx.instant()), "crawl_timestamp")
 
@@ -536,6 +547,7 @@ QUERIES = {
     "reports_from_tables": reports_from_tables,
     "log_rows": log_rows,
     "log_roundtrip": log_roundtrip,
+    "log_compaction": log_compaction,
     "search_docs": search_docs,
     "lossy_decode": lossy_decode,
     "resolve_university": resolve_university,
