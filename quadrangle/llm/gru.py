@@ -79,6 +79,58 @@ def log_probabilities(p, data, mask):
     return y - np.log(np.exp(y).sum(axis=2, keepdims=True))
 
 
+def _halved(w, u):
+    """Tables of one direction for `_states`: gates apart from the rest, factors of one half taken in."""
+    hidden = u.shape[0]
+    gates, rest = slice(0, 2 * hidden), slice(2 * hidden, None)
+    return [np.ascontiguousarray(x, np.float32) for x in (w[:, gates] / 2, w[:, rest], u[:, gates] / 2, u[:, rest] / 2)]
+
+
+def _states(w, u, data, mask, order):
+    """As `_recur`, for reading only: with s = tanh(x / 2) a gate is (1 + s) / 2, every step
+    works in the same few buffers, and steps where all rows are inside skip the mask."""
+    wg, wn, ug, un = _halved(w, u)
+    steps, rows = data.shape
+    hidden = len(ug)
+    out = np.empty((steps, rows, hidden), np.float32)
+    gates, g, n, v = (np.empty((rows, k * hidden), np.float32) for k in (2, 2, 1, 1))
+    z, r = gates[:, :hidden], gates[:, hidden:]
+    h, whole = np.zeros((rows, hidden), np.float32), mask.all(axis=1)
+    for t in order:
+        np.take(wg, data[t], axis=0, out=gates, mode="clip")
+        gates += np.matmul(h, ug, out=g)
+        np.tanh(gates, out=gates)
+        gates += 1
+        np.matmul(h, un, out=v)
+        v *= r
+        np.take(wn, data[t], axis=0, out=n, mode="clip")
+        n += v
+        np.tanh(n, out=n)
+        np.subtract(h, n, out=v)
+        v *= z
+        v *= 0.5
+        np.add(n, v, out=out[t])
+        h = out[t]
+        if not whole[t]:
+            h *= mask[t][:, None]
+    return out
+
+
+def probabilities(p, data, mask):
+    """Probability of each label at every position: (steps, rows, labels)."""
+    order = range(len(data))
+    f = _states(p["wf"], p["uf"], data, mask, order)
+    b = _states(p["wb"], p["ub"], data, mask, order[::-1])
+    hidden = f.shape[2]
+    y = f @ p["o"][:hidden]
+    y += b @ p["o"][hidden:]
+    y += p["c"]
+    y -= y.max(axis=2, keepdims=True)
+    np.exp(y, out=y)
+    y /= y.sum(axis=2, keepdims=True)
+    return y
+
+
 def loss_and_gradients(p, data, mask, label):
     """Mean cross-entropy over positions, and its gradients."""
     order = range(len(data))
@@ -151,13 +203,12 @@ def segments(data, offsets, length, block):
         yield seen, inside.astype(np.float32), own & letter[seen], rows[pick]
 
 
-def pooled(p, data, offsets, length=128, block=1024):
+def pooled(p, data, offsets, length=256, block=2048):
     """Mean label probabilities over the letters of each text, and the letter bytes counted."""
     n, classes = len(offsets) - 1, len(p["c"])
     total, count = np.zeros((n, classes)), np.zeros(n, np.int64)
     for seen, inside, weight, rows in segments(data, offsets, length, block):
-        logs = log_probabilities(p, seen, inside)
-        own = np.einsum("tnl,tn->nl", np.exp(logs), weight.astype(np.float32))
+        own = np.einsum("tnl,tn->nl", probabilities(p, seen, inside), weight.astype(np.float32))
         np.add.at(total, rows, own)
         np.add.at(count, rows, weight.sum(axis=0))
     return total / np.maximum(count, 1)[:, None], count

@@ -90,7 +90,9 @@ def identify(docs, **more):
     whole text. Null texts and texts without a letter are `und` with score 0, and so is
     everything if no row can be learned from. `held_out` rows (crc32 of doc_id as text,
     modulo 5, is 0) are never learned from; a null doc_id is neither held out nor learned
-    from. Other columns are ignored.
+    from. Of languages with equal shares the first by name is taken. Repeated rows are each
+    predicted by themselves, texts are read whole whatever their length, an empty table
+    gives an empty one. Other columns are ignored.
     """
     languages, parameters = train(docs, **more)
     out = docs.select("doc_id", "text").mapInArrow(

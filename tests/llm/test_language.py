@@ -55,3 +55,26 @@ def test_edges(spark):
     assert [got[i][0] for i in range(60)] == ["en", "de"] * 30
     assert language.identify(docs.limit(0)).collect() == []
     assert {r.lang_pred for r in language.identify(docs.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
+
+
+def test_reading_equals_the_network_that_was_trained():
+    rng = np.random.default_rng(3)
+    p = gru.initial(4)
+    data = rng.integers(0, 256, (30, 9)).astype(np.uint8)
+    mask = (np.arange(30)[:, None] < rng.integers(1, 31, 9)).astype(np.float32)
+    mask[:3, 2] = 0  # a segment that begins its text
+    assert np.allclose(gru.probabilities(p, data, mask), np.exp(gru.log_probabilities(p, data, mask)), atol=1e-5)
+
+
+def test_very_long_texts_repeated_rows_and_ties(spark):
+    words = {"aa": "kalo kalu ", "bb": "timi timo "}
+    rows = [(i, words[lang] * 20, lang) for i in range(60) for lang in [["aa", "bb"][i % 2]]]
+    rows += [(100, "kalo " * 600_000, None), (101, "timi " * 5, "aa"), (101, "timi " * 5, "aa"), (102, "é" * 1000, None)]
+    docs = spark.createDataFrame([(*r, 1.0) for r in rows], "doc_id long, text string, lang string, score double")
+    got = {}
+    for r in language.identify(docs, steps=60).collect():
+        got.setdefault(r.doc_id, []).append((r.lang_pred, r.score))
+    assert got[100][0][0] == "aa" and got[100][0][1] > 0.9
+    assert len(got[101]) == 2 and got[101][0] == got[101][1] and got[101][0][0] == "bb"
+    assert got[102][0][0] in words
+    assert language.identify(docs.limit(0)).collect() == []
