@@ -97,7 +97,8 @@ def run(spark, root, table_path, pairs, run_ts=None, multi_line=False, quarantin
     run_ts = run_ts if run_ts is not None else F.current_timestamp()
     folders = resolved_folders(spark, root, pairs, "type=authors", catalogue)
     columns = [*schemas.AUTHOR.names, "university", "faculty"]
-    staged = cut(scan_authors(spark, root, folders, multi_line).select(*columns, CORRUPT, "object_path"))
+    # no more folders than requests, a list
+    staged = cut(scan_authors(spark, root, folders, multi_line, small=True).select(*columns, CORRUPT, "object_path"))
     counts = {"raw": 0, "clean": 0}
     if quarantine_path:
         counts["unreadable"] = quarantine(unreadable(staged, schemas.AUTHOR.names), quarantine_path, run_ts)

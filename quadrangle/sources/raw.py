@@ -130,8 +130,9 @@ def unreadable(scan, fields):
     )
 
 
-def scan_authors(spark, root, pairs=None, multi_line=False):
-    """Author records of every landing day as `_json` gives them; `pairs` prune the folders."""
+def scan_authors(spark, root, pairs=None, multi_line=False, small=False):
+    """Author records of every landing day as `_json` gives them; `pairs` prune the folders.
+    A list is sent to all tasks, as is a table of pairs known to be `small`."""
     schema = schemas.with_partitions(schemas.AUTHOR, "university", "faculty", *_DAY)
     try:
         scan = _json(spark, f"{root}/university=*/faculty=*/type=authors", schema, multi_line, basePath=root)
@@ -142,7 +143,9 @@ def scan_authors(spark, root, pairs=None, multi_line=False):
     if pairs is None:
         return scan
     # the condition lets the planner prune folders by the pairs while the query runs
-    wanted = pair_table(spark, pairs).where("university <> '' AND faculty <> ''")
+    wanted = pair_table(spark, pairs).where("university > '' AND faculty > ''")
+    if small or isinstance(pairs, list):
+        wanted = F.broadcast(wanted)
     return scan.join(wanted, ["university", "faculty"], "left_semi")
 
 
