@@ -6,6 +6,9 @@ and rows that share a doc_id are kept or dropped together by the stage on near
 duplicates, and judged by their own text everywhere else.
 """
 
+import functools
+import gc
+
 from pyspark.sql import functions as F
 
 from quadrangle.llm.decontaminate import contained_items
@@ -16,12 +19,29 @@ from quadrangle.llm.toxicity import THRESHOLD, score, train
 from quadrangle.session import scratch_path
 
 
+def alone(stage):
+    """The stage, begun when what earlier ones left in the driver has been let go.
+
+    Broadcasts and shuffle files are dropped once the objects that own them are collected,
+    which a driver with room to spare puts off; a session runs several stages."""
+
+    @functools.wraps(stage)
+    def run_alone(spark, docs, sf_dir):
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        return stage(spark, docs, sf_dir)
+
+    return run_alone
+
+
+@alone
 def drop_toxic(spark, docs, sf_dir):
     """Documents the clause grammar does not find toxic; labels are learned from as in op3."""
     model = train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return score(docs, model).where(F.col("score") < THRESHOLD).select(*docs.columns)
 
 
+@alone
 def drop_lines(spark, docs, sf_dir):
     """Texts without the lines found in several documents, but for the last document's."""
     kept = drop_repeated_lines(docs)
@@ -29,18 +49,21 @@ def drop_lines(spark, docs, sf_dir):
     return kept.select(*[changed[c].alias(c) if c in changed else F.col(c) for c in docs.columns])
 
 
+@alone
 def drop_near_duplicates(spark, docs, sf_dir):
     """The document with the smallest doc_id of each group of near duplicates."""
     dropped = near_duplicates(docs).where("NOT kept").select("doc_id").distinct()
     return docs.join(dropped, "doc_id", "left_anti").select(*docs.columns)
 
 
+@alone
 def drop_contaminated(spark, docs, sf_dir):
     """Documents that contain no benchmark item."""
     found = contained_items(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     return found.where(F.size("items") == 0).select(*docs.columns)
 
 
+@alone
 def to_pieces(spark, docs, sf_dir):
     """(doc_id, ids, n_pieces, round_trip): every kept text as pieces, read back and compared."""
     return encode(docs).select("doc_id", "ids", F.size("ids").cast("long").alias("n_pieces"), "round_trip")
