@@ -48,10 +48,10 @@ def upsert(batch, path, keys=("record_id",), order="business_timestamp", partiti
     order of the hash of their keys, and the keys have Bloom filters: a batch of at most
     `LOOKUP_KEYS` rows first asks for its keys, and what is stored already is not put again.
 
-    The batch is worked out once, into a staged table. Spark swaps the rewritten folders in when the whole write has
-    succeeded, folder by folder; after that the directory of slots is brought up to date
-    and folders of split slots go. A crash in between leaves some folders new, and running
-    the batch again completes it. Needs one writer per table at a time, and a committer
+    The batch is worked out once, into a staged table. Spark swaps the rewritten folders
+    in when the whole write has succeeded, folder by folder; after that the directory of
+    slots is brought up to date and folders of split slots go. A crash in between leaves
+    some folders new, and running the batch again completes it. Needs one writer per table at a time, and a committer
     that supports dynamic overwrite.
     """
     spark, schema, partitions = batch.sparkSession, batch.schema, list(partitions)
@@ -80,7 +80,7 @@ def _put(spark, path, schema, staged, staged_path, rows, scope, keys, partitions
                 return
     row_bytes = max(1.0, stored_bytes(spark, staged_path) / rows)
     depths = _depths(staged, directory, row_bytes, slots, slot_bytes) if version else _first_depths(staged, partitions, row_bytes, slots, slot_bytes)
-    touched = _touched(spark, path, schema, staged, depths, directory, scope, row_bytes, slot_bytes)
+    touched = _touched(spark, path, schema, staged, depths, directory, scope, row_bytes, slot_bytes, version > 0)
     folders, size = touched.agg(F.count(F.lit(1)), F.sum("size")).first()
     small = folders <= BROADCAST_SLOTS
     placed = _moved(_candidates(staged, depths, partitions, small), touched, partitions, small)
@@ -99,9 +99,10 @@ def _one_per_key(staged, path, scope, order):
     """The newest row per key, other columns settling ties, and where the rows lie.
 
     Whole rows are shuffled for keys that occur more than once only."""
-    twice = cut(staged.groupBy(*scope).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(*scope))
+    twice = staged.groupBy(*scope).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").select(*scope)
     if twice.isEmpty():
         return staged, path
+    twice = cut(twice)
     rest = [F.col(c).asc() for c in staged.columns if c not in (*scope, order, HASH)]
     newest = first_per_key(meet(staged, twice, scope, "left_semi"), scope, [F.col(order).desc(), *rest])
     single, single_path = cut_with_path(meet(staged, twice, scope, "left_anti").unionByName(newest))
@@ -130,7 +131,7 @@ def _candidates(rows, depths, partitions, small):
     return at.withColumn(SLOT, slot_at(F.col(HASH), F.col("_depth"))).drop("_depth", "depths")
 
 
-def _touched(spark, path, schema, staged, depths, directory, scope, row_bytes, slot_bytes):
+def _touched(spark, path, schema, staged, depths, directory, scope, row_bytes, slot_bytes, is_stored):
     """(partitions, key_slot, is_stored, size, extra): the slots the batch falls into, their
     bytes after it, and by how many bits each is to be split."""
     partitions, folders = directory.partitions, [*directory.partitions, SLOT]
@@ -143,7 +144,7 @@ def _touched(spark, path, schema, staged, depths, directory, scope, row_bytes, s
     sized = cut(sized)
     # rows put may replace stored ones; only where both together do not fit is that looked up
     full = sized.where(F.col("is_stored") & (F.col("bytes") + F.col("put") * row_bytes > slot_bytes))
-    known = not full.isEmpty()
+    known = is_stored and not full.isEmpty()
     if known:
         stored = touched_rows(read_table(spark, path, with_slot(schema)), full, partitions, False)
         hits = meet(stored, staged, scope, "left_semi").groupBy(*folders).agg(F.count(F.lit(1)).alias("replaced"))

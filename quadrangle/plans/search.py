@@ -40,6 +40,8 @@ def run(spark, root, table_path, run_ts=None, pairs=None, progress=None):
     for every root and set of pairs; a run that fails leaves the old one."""
     start = end = None
     if progress:
+        if pairs is not None and not isinstance(pairs, list):
+            raise ValueError("marks are kept for pairs given as a list")
         job = f"{root} {sha256(repr(sorted(pairs)).encode()).hexdigest() if pairs else ''}"
         start = read_mark(spark, progress, job)
         end = object_files(spark, root, pairs, start).agg(F.max(F.unix_micros("modificationTime"))).first()[0]

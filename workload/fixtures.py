@@ -322,7 +322,7 @@ OBJECTS_PER_FOLDER = 16
 
 
 def site_objects(spark, sf_dir, day):
-    """HTML objects of several pages each, as stored on one day; on the second day every
+    """HTML objects of several pages each, as stored on one day; on the second day every
     third is stored again, changed."""
     blocks = table(spark, sf_dir, "pages").select("page_id", "url", "html", _mod("page_id", OBJECTS_PER_FOLDER).alias("block"))
     host = F.substring_index(netloc(F.col("url")), ".", -1)
@@ -342,7 +342,7 @@ def site_objects(spark, sf_dir, day):
 
 
 def site_sidecars(objects, day):
-    """the sidecar of each object, as JSON; some have none."""
+    """the sidecar of each object, as JSON; some have none."""
     quoted = lambda name, value: F.concat(F.lit(f'"{name}": "'), value, F.lit('"'))
     body = F.concat(
         F.lit("{\n "), quoted("source_url", F.col("url")), F.lit(", "), quoted("university", F.col("university")), F.lit(", "),
@@ -380,7 +380,7 @@ def store_site(spark, sf_dir, root, day):
 
 
 def author_lines(spark, sf_dir):
-    """authors as lines of JSON, some cut short, some no JSON, some with a word for a number."""
+    """authors as lines of JSON, some cut short, some no JSON, some with a word for a number."""
     people = _with_region(table(spark, sf_dir, "customer"), "c_nationkey", spark, sf_dir)
     key = F.col("c_custkey").cast("string")
     kind = _mod("c_custkey", 10)
@@ -391,7 +391,7 @@ def author_lines(spark, sf_dir):
 
 
 def store_author_lines(spark, sf_dir, root):
-    """Put F11 below university, faculty, type, day and batch."""
+    """Put F15 below university, faculty, type, day and batch."""
     folders = {"type": "authors", "year": "2024", "month": "06", "day": "01", "batch": "b1"}
     rows = author_lines(spark, sf_dir).select(F.col("line").alias("value"), "university", "faculty", *[F.lit(v).alias(k) for k, v in folders.items()])
     rows.repartition("university", "faculty").write.partitionBy("university", "faculty", *folders).text(root)
