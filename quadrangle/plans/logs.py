@@ -41,7 +41,7 @@ def write(rows, root, sidecar_root, batch):
     faculty, day and `batch`, a name for the rows of one call.
 
     A batch written again replaces itself. Entries are meant to be gathered: one call
-    writes any number of them."""
+    writes any number of them. Without `sidecar_root` there are no metadata rows."""
     day = F.to_date(F.substring("timestamp", 1, 10))
     folders = {
         "university": F.col("university"),
@@ -52,5 +52,7 @@ def write(rows, root, sidecar_root, batch):
         "batch": F.lit(batch),
     }
     land_json(rows, schemas.LOG.names, folders, root)
+    if sidecar_root is None:
+        return
     stamped = {**folders, **{n: F.date_format(F.to_date(F.substring("log_timestamp", 1, 10)), f) for n, f in (("year", "yyyy"), ("month", "MM"), ("day", "dd"))}}
     land_json(sidecars(rows), schemas.LOG_SIDECAR.names, stamped, sidecar_root)

@@ -359,8 +359,7 @@ def scan_quarantine(spark, sf_dir):
     root, path, aside = (scratch_path(spark, name) for name in ("raw-json", "faculty_profiles", "quarantine"))
     fx.store_author_lines(spark, sf_dir, root)
     pairs = [tuple(r) for r in fx.author_lines(spark, sf_dir).select("university", "faculty").distinct().collect()]
-    for _ in range(2):
-        profiles.run(spark, root, path, pairs, fx.instant(), quarantine_path=aside)
+    profiles.run(spark, root, path, pairs, fx.instant(), quarantine_path=aside)
     return read_table(spark, aside, schemas.UNREADABLE).select("record", "reason", "university", "faculty")
 
 
@@ -415,12 +414,12 @@ def log_roundtrip(spark, sf_dir):
 
 
 def log_compaction(spark, sf_dir):
-    """Log rows landed in four batches, three of them merged: the same rows."""
-    root, sidecars = scratch_path(spark, "logs"), scratch_path(spark, "logs-meta")
-    rows = logs.log_rows(fx.log_entries(spark, sf_dir)).withColumn("part", F.pmod(F.crc32("object_path"), F.lit(4)))
-    for part in range(4):
-        logs.write(rows.where(F.col("part") == part).drop("part"), root, sidecars, f"b{part}")
-    compact(spark, root, "b3")
+    """Log rows landed in three batches, two of them merged: the same rows."""
+    root = scratch_path(spark, "logs")
+    rows = logs.log_rows(fx.log_entries(spark, sf_dir)).withColumn("part", F.pmod(F.crc32("object_path"), F.lit(3)))
+    for part in range(3):
+        logs.write(rows.where(F.col("part") == part).drop("part"), root, None, f"b{part}")
+    compact(spark, root, "b2")
     return spark.read.schema(schemas.LOG).option("recursiveFileLookup", "true").json(f"{root}/university=*")
 
 
