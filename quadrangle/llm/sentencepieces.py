@@ -1,7 +1,10 @@
 """SentencePiece encoding and decoding over a relational lattice.
 
-Texts are cut into units that no piece can cross: between two ASCII characters that stand
-side by side in no piece, such as a letter and the blank after it. The different units of the corpus are counted; every substring of a
+Texts are cut into units that no piece can cross: first between two ASCII characters that
+stand side by side in no piece, such as a letter and the blank after it, then, in what that
+leaves, wherever no piece of the table lies over the place. Words that foreign letters glue
+together come apart there, so there are fewer different units, and shorter ones. The
+different units of the corpus are counted; every substring of a
 unit of at most the longest piece's length is exploded and equi-joined to the piece table,
 and the edges found are grouped by unit. A higher-order aggregate then folds each unit's
 edges: for unigram models the Viterbi path of the best total score, for merge (BPE)
@@ -24,7 +27,7 @@ import sentencepiece
 import zstandard
 from pyspark.sql import functions as F
 
-from quadrangle.llm.textscan import buffers, pieces, segment_hashes
+from quadrangle.llm.textscan import _powers, buffers, mix, pieces, segment_hashes
 from quadrangle.session import cut
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -36,6 +39,10 @@ ENCODE_BYTES = 1 << 20
 HELD_UNITS = 1 << 19
 TALLY_BYTES = 4 << 20
 TALLY_PLACES = 1 << 20
+TALLY_ROWS = 1 << 15
+SPAN_BITS = 22
+SPAN_SLICE = 1 << 15  # bytes
+IS_PIECE, IS_HEAD = 1, 2
 
 
 class Vocabulary:
@@ -66,6 +73,13 @@ class Vocabulary:
             raw = np.frombuffer(text, np.uint8).astype(np.int64)
             self.pairs[raw[:-1] * 256 + raw[1:]] = True
         self.by_text = {piece: (-score, i) for piece, i, score in self.rows}
+        # by hash: whether a text is a piece of two characters or more, or begins one
+        self.spans = np.zeros(1 << SPAN_BITS, np.uint8)
+        for piece, _, _ in self.rows:
+            codes = np.frombuffer(piece.replace(BLANK, " ").encode("utf-32-le"), "<u4")
+            places = _span_places(np.cumsum(_code_values(codes)))
+            self.spans[places[1:-1]] |= IS_HEAD
+            self.spans[places[1:][-1:]] |= IS_PIECE
 
     def table(self, spark):
         """(key, piece, id, rank): a fixed number of rows, whatever the corpus."""
@@ -118,6 +132,48 @@ def units(data, offsets, pairs):
     return data, offsets, np.flatnonzero(start)
 
 
+def _code_values(codes):
+    """Terms whose running sum hashes code points, as `textscan` does with bytes."""
+    return mix(codes.astype(np.uint64) + np.uint64(1)) * _powers(len(codes) + 1)[0][: len(codes)]
+
+
+def _span_places(hashes):
+    return (hashes >> np.uint64(64 - SPAN_BITS)).astype(np.int64)
+
+
+def refined(data, starts, vocabulary):
+    """Unit starts with those added, inside units, that no piece lies over.
+
+    What is cut depends on the unit alone. A hash met by chance only leaves a place uncut."""
+    cuts = [starts]
+    # slices that end between units, so that little is held at a time
+    slices = np.unique(np.searchsorted(starts, np.arange(0, len(data), SPAN_SLICE)))
+    slices = slices[slices < len(starts)]
+    for lo, hi in zip(slices, np.r_[slices[1:], len(starts)], strict=True):
+        first, last = starts[lo], starts[hi] if hi < len(starts) else len(data)
+        own = data[first:last]
+        heads = np.flatnonzero((own & 0xC0) != 0x80)
+        codes = np.frombuffer(own.tobytes().decode().encode("utf-32-le"), "<u4")
+        begin = np.searchsorted(heads, starts[lo:hi] - first)
+        run = np.zeros(len(codes) + 1, np.uint64)
+        np.cumsum(_code_values(codes), out=run[1:])
+        down = _powers(len(codes) + 1)[1]
+        over = np.zeros(len(codes) + 1, np.int32)
+        at, size = np.arange(len(codes)), np.diff(np.r_[begin, len(codes)])
+        left = np.repeat(begin + size, size) - at
+        for length in range(2, vocabulary.longest + 1):
+            inside = left >= length
+            at, left = at[inside], left[inside]
+            kind = vocabulary.spans[_span_places((run[at + length] - run[at]) * down[at])]
+            found = at[kind & IS_PIECE > 0]
+            over[found + 1] += 1
+            over[found + length] -= 1
+            longer = kind & IS_HEAD > 0
+            at, left = at[longer], left[longer]
+        cuts.append(first + heads[np.cumsum(over[:-1]) == 0])
+    return np.unique(np.concatenate(cuts))
+
+
 def _long(data, starts):
     """Which units have more code points than the lattice takes."""
     size = np.diff(np.r_[starts, len(data)])
@@ -187,27 +243,37 @@ class Tally:
         free = self.held[place] == 0
         self.held[place[free]] = found[free]
 
-    def rows(self):
+    def rows(self, vocabulary):
+        """(unit, n) of the refined units that the lattice takes."""
         held = np.flatnonzero(self.hits)
         self.counts[np.searchsorted(self.known, self.held[held])] += self.hits[held]
-        words = pa.concat_arrays([pa.array([], pa.string()), *self.words])
-        return pa.record_batch([words, pa.array(self.counts[np.argsort(self.at)], pa.int64())], ["unit", "n"])
+        words = pa.concat_arrays([pa.array([], pa.large_string()), *self.words])
+        counts = self.counts[np.argsort(self.at)]
+        for lo in range(0, len(words), TALLY_ROWS):
+            data, offsets = buffers(words.slice(lo, TALLY_ROWS))
+            starts = refined(data, offsets[:-1], vocabulary)
+            own = lo + np.searchsorted(offsets, starts, side="right") - 1
+            short = np.flatnonzero(~_long(data, starts))
+            _, first, back = np.unique(segment_hashes(data, starts)[short], return_index=True, return_inverse=True)
+            n = np.zeros(len(first), np.int64)
+            np.add.at(n, back, counts[own[short]])
+            yield pa.record_batch([_texts(data, starts, short[first]), pa.array(n, pa.int64())], ["unit", "n"])
 
 
-def _tally(batches, pairs):
+def _tally(batches, vocabulary):
     """(unit, n) for the units of one task, each once unless there are very many."""
+    vocabulary = vocabulary.value
     tally = Tally()
     for batch in batches:
         for piece in pieces(batch, limit=TALLY_BYTES):
-            data, offsets, starts = _read(piece, pairs)
+            data, offsets, starts = _read(piece, vocabulary.pairs)
             if not len(starts):
                 continue
-            short = np.flatnonzero(~_long(data, starts))
-            tally.add(segment_hashes(data, starts)[short], lambda own, d=data, s=starts, k=short: _texts(d, s, k[own]))
+            tally.add(segment_hashes(data, starts), lambda own, d=data, s=starts: _texts(d, s, own).cast(pa.large_string()))
             if tally.many > HELD_UNITS:
-                yield tally.rows()
+                yield from tally.rows(vocabulary)
                 tally = Tally()
-    yield tally.rows()
+    yield from tally.rows(vocabulary)
 
 
 def lattice(words, vocabulary, spark):
@@ -278,8 +344,8 @@ def dictionary(docs, vocabulary):
 
     The path holds the cuts, as bits, and the pieces of two characters and more."""
     spark = docs.sparkSession
-    pairs = vocabulary.pairs
-    words = docs.select("text").mapInArrow(lambda batches: _tally(batches, pairs), "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n"))
+    shared = spark.sparkContext.broadcast(vocabulary)
+    words = docs.select("text").mapInArrow(lambda batches: _tally(batches, shared), "unit string, n long").groupBy("unit").agg(F.sum("n").alias("n"))
     edges = lattice(words, vocabulary, spark)
     path = MERGES if vocabulary.merges else f"element_at(transform(array({best_path(vocabulary)}), cuts -> {PATH}), 1)"
     return edges.select("unit", "n", F.expr(path).alias("path"))
@@ -361,18 +427,45 @@ def _gather(flat, first, size):
 
 
 class Cut:
-    """The texts of a piece cut into units, and those looked up among the frequent ones."""
+    """The texts of a piece cut into units, and those looked up among the frequent ones.
 
-    def __init__(self, piece, head, pairs):
-        self.data, self.offsets, self.starts = _read(piece, pairs)
+    A unit found there is refined already; only the others are cut further."""
+
+    def __init__(self, piece, head, vocabulary):
+        self.data, self.offsets, self.starts = _read(piece, vocabulary.pairs)
         self.hashes = segment_hashes(self.data, self.starts) if len(self.starts) else np.zeros(0, np.uint64)
-        self.long = _long(self.data, self.starts)
         self.found = head.find(self.hashes)
+        missed = np.flatnonzero(self.found < 0)
+        if len(missed):
+            self._refine(missed, head, vocabulary)
+        self.long = _long(self.data, self.starts)
         self.found[self.long] = -1
         self.bounds = np.searchsorted(self.starts, self.offsets)
         self.rare = np.flatnonzero((self.found < 0) & ~self.long)
         self.rare_rows = np.searchsorted(self.bounds, self.rare, side="right") - 1
 
+    def _refine(self, missed, head, vocabulary):
+        """Cut the missed units, each text once, and look their parts up."""
+        _, first, back = np.unique(self.hashes[missed], return_index=True, return_inverse=True)
+        size = np.diff(np.r_[self.starts, len(self.data)])
+        texts = missed[first]
+        flat = _gather(self.data, self.starts[texts], size[texts])
+        begin = np.r_[0, np.cumsum(size[texts])[:-1]]
+        parts = refined(flat, begin, vocabulary)
+        hashes = segment_hashes(flat, parts)
+        found = head.find(hashes)
+        ends = np.searchsorted(parts, np.r_[begin, len(flat)])
+        each = np.diff(ends)[back]
+        own = _gather(np.arange(len(parts)), ends[:-1][back], each)
+        at = np.repeat(self.starts[missed] - begin[back], each) + parts[own]
+        known = np.ones(len(self.starts), bool)
+        known[missed] = False
+        starts = np.r_[self.starts[known], at]
+        order = np.argsort(starts, kind="stable")
+        self.hashes = np.r_[self.hashes[known], hashes[own]][order]
+        self.found = np.r_[self.found[known], found[own]][order]
+        self.starts = starts[order]
+
 
 class Encoder:
     """Puts ids of whole texts together, and reads them back."""
@@ -424,11 +517,11 @@ def _gather_places(begin, size):
     return np.repeat(begin - np.r_[0, ends[:-1]], size) + np.arange(ends[-1])
 
 
-def _rare(batches, head, pairs):
+def _rare(batches, head, vocabulary):
     """(doc, text_key, at, h) of units that are neither frequent nor long."""
     for batch in batches:
         for piece in pieces(batch, limit=ENCODE_BYTES):
-            own = Cut(piece, head.value, pairs)
+            own = Cut(piece, head.value, vocabulary.value)
             rows = own.rare_rows
             yield pa.record_batch(
                 [
@@ -444,12 +537,12 @@ def _near(batches, head, vocabulary, digest):
     encoder = Encoder(head.value, vocabulary.value)
     for batch in batches:
         for piece in pieces(batch, limit=ENCODE_BYTES):
-            own = Cut(piece, head.value, vocabulary.value.pairs)
+            own = Cut(piece, head.value, vocabulary.value)
             if len(own.rare):
                 kept = np.ones(piece.num_rows, bool)
                 kept[own.rare_rows] = False
                 piece = piece.filter(pa.array(kept))
-                own = Cut(piece, head.value, vocabulary.value.pairs)
+                own = Cut(piece, head.value, vocabulary.value)
             yield _encoded(piece, own, encoder, None, digest)
 
 
@@ -458,7 +551,7 @@ def _far(batches, head, vocabulary):
     pack = zstandard.ZstdCompressor(3)
     for batch in batches:
         for piece in pieces(batch, limit=ENCODE_BYTES):
-            own = Cut(piece, head.value, vocabulary.value.pairs)
+            own = Cut(piece, head.value, vocabulary.value)
             part = piece.take(pa.array(np.unique(own.rare_rows)))
             blobs = [pack.compress(t.encode()) for t in part.column("text").to_pylist()]
             yield pa.record_batch([part.column("doc_id"), part.column("doc"), part.column("text_key"), pa.array(blobs, pa.binary())], ["doc_id", "doc", "text_key", "blob"])
@@ -493,7 +586,7 @@ def _joined(batches, head, vocabulary, digest):
             part = batch.slice(lo, 256)
             texts = [unpack.decompress(b).decode() for b in part.column("blob").to_pylist()]
             piece = pa.record_batch([part.column("doc_id"), pa.array(texts, pa.string())], ["doc_id", "text"])
-            yield _encoded(piece, Cut(piece, head.value, vocabulary.value.pairs), encoder, part.column("rare").to_pylist(), digest)
+            yield _encoded(piece, Cut(piece, head.value, vocabulary.value), encoder, part.column("rare").to_pylist(), digest)
 
 
 def encode(docs, path=MODEL, head_units=HEAD_UNITS, digest=False):
@@ -526,7 +619,7 @@ def encode(docs, path=MODEL, head_units=HEAD_UNITS, digest=False):
     rest = known.where((F.col("n") <= floor) | (F.size("ids") > HEAD_IDS)).select("h", "ids")
     if rest.isEmpty():
         return near
-    rare = keyed.mapInArrow(lambda batches: _rare(batches, head, vocabulary.pairs), "doc long, text_key long, at int, h long").distinct()
+    rare = keyed.mapInArrow(lambda batches: _rare(batches, head, words), "doc long, text_key long, at int, h long").distinct()
     met = rare.join(rest, "h").groupBy("doc", "text_key").agg(F.collect_list(F.struct("at", "ids")).alias("rare"))
     far = keyed.mapInArrow(lambda batches: _far(batches, head, words), "doc_id long, doc long, text_key long, blob binary")
     far = far.join(met, ["doc", "text_key"]).select("doc_id", "blob", "rare")

@@ -3,11 +3,13 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
 
-from quadrangle.llm.sentencepieces import MODEL, Vocabulary, best_path, document_pieces, encode, lattice
+from quadrangle.llm.sentencepieces import BLANK, MODEL, Vocabulary, best_path, dictionary, document_pieces, encode, lattice, refined
+from quadrangle.llm.textscan import buffers
 
 
 @pytest.fixture(scope="module")
@@ -39,6 +41,35 @@ def test_equals_the_encoder_on_odd_texts(spark, model, head):
     check(spark, model, odd_texts(), head_units=head)
 
 
+def test_units_are_cut_where_no_piece_lies():
+    vocabulary = Vocabulary()
+    inside = {piece.replace(BLANK, " ") for piece, _, _ in vocabulary.rows if len(piece) > 1}
+    words = [" ció\u00f1 niñ\u00e9ó the", "é日①😀ß", "andtionanre", " le\u00ea \u00e8ment", "x", "=" * 70] * 3
+    data, offsets = buffers(pa.array(words, pa.large_string()))
+    starts = refined(data, offsets[:-1], vocabulary)
+    ends = np.r_[starts[1:], len(data)]
+    got = [data[a:b].tobytes().decode() for a, b in zip(starts, ends, strict=True)]
+    want = []
+    for word in words:
+        over = {p for i in range(len(word)) for j in range(i + 2, min(len(word), i + vocabulary.longest) + 1) if word[i:j] in inside for p in range(i + 1, j)}
+        cuts = [0, *(p for p in range(1, len(word)) if p not in over), len(word)]
+        want += [word[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    # a place may stay uncut by chance, but no piece's place is cut
+    assert "".join(got) == "".join(want) and len(got) >= 0.9 * len(want) > len(words) + 6
+    edges = set(np.cumsum([len(w) for w in want]).tolist())
+    assert set(np.cumsum([len(g) for g in got]).tolist()) <= edges
+    assert got[: len(got) // 3] * 3 == got
+
+
+@pytest.mark.parametrize("head", [1 << 22, 5])
+def test_words_glued_by_foreign_letters_make_no_units_of_their_own(spark, model, head):
+    ends = ["the", "le", "que", "sch", "tion", "ich", "ly", "ing", "er", "on"]
+    texts = [f"a{x}ñ é{y}ó ü{z}" for x in ends for y in ends for z in ends]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert dictionary(docs, Vocabulary()).count() <= 10 * len(ends)
+    check(spark, model, list(enumerate(texts)), head_units=head)
+
+
 def test_given_tables(spark, model):
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     check(spark, model, [(r.doc_id, r.text) for r in docs.collect()], head_units=2000)
